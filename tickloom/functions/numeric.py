@@ -101,11 +101,3 @@ def total(columns: Sequence[Column]) -> Column:
 def count_true(conditions: Sequence[Column]) -> Column:
     return total([F.when(c, F.lit(1)).otherwise(F.lit(0)) for c in conditions])
 
-
-def quantile_of_sorted(values: Column, p: float) -> Column:
-    """Quantile with linear interpolation from an ascending array; NULL if it is empty."""
-    position = (F.size(values) - 1) * F.lit(p)
-    low = F.floor(position).cast("int")
-    low_value = F.get(values, low)
-    high_value = F.get(values, F.ceil(position).cast("int"))
-    return low_value + (high_value - low_value) * (position - low)

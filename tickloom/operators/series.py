@@ -98,7 +98,3 @@ def _from(min_rows: int, column: str, value: Column, window: WindowSpec) -> Colu
         return value
     return F.when(F.count(column).over(window) >= min_rows, value)
 
-
-def rolling_sorted(column: str, over: Frame, rows: int) -> Column:
-    """The frame's non-NULL values as an ascending array, for exact quantiles."""
-    return F.sort_array(F.collect_list(column).over(over(rows)))
