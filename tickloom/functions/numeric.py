@@ -16,11 +16,12 @@ TIE = 1e-6
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round half away from zero; a value within noise of a tie counts as the tie."""
+    """Round half away from zero; a value within noise of a tie counts as the tie.
+
+    Plain arithmetic, which compiles to little code; adding 0.0 turns -0.0 into 0.0.
+    """
     scale = float(10 ** digits)
-    scaled = F.abs(value) * scale
-    rounded = F.signum(value) * F.floor(scaled + (0.5 + TIE)) / scale
-    return F.when(scaled < 0.5 - TIE, F.lit(0.0)).otherwise(rounded)
+    return F.signum(value) * F.floor(F.abs(value) * scale + (0.5 + TIE)) / scale + 0.0
 
 
 def rounded(**digits_of: int) -> dict[str, Column]:
@@ -101,3 +102,18 @@ def total(columns: Sequence[Column]) -> Column:
 def count_true(conditions: Sequence[Column]) -> Column:
     return total([F.when(c, F.lit(1)).otherwise(F.lit(0)) for c in conditions])
 
+
+def quantiles(values: Column, *shares: float) -> Column:
+    """Quantiles of an array with linear interpolation, NULLs if it is empty.
+
+    The sorted array is bound to a lambda variable, so it is sorted once.
+    """
+
+    def pick(ordered: Column, share: float) -> Column:
+        position = (F.size(ordered) - 1) * F.lit(share)
+        low = F.floor(position)
+        start = F.get(ordered, low.cast("int"))
+        return start + (F.get(ordered, F.ceil(position).cast("int")) - start) * (position - low)
+
+    bound = F.transform(F.array(F.sort_array(values)), lambda s: F.array(*[pick(s, q) for q in shares]))
+    return F.get(bound, F.lit(0))

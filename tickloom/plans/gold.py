@@ -7,8 +7,6 @@ columns, projection. The window columns are kept in stage functions, so that
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import labels, numeric as n
@@ -71,9 +69,7 @@ def outlier_stage(over: Frame) -> dict[str, Column]:
     return {
         "volume_mean": rolling_mean("volume", over, Z_ROWS),
         "volume_std": rolling_std("volume", over, Z_ROWS),
-        "quartiles": F.percentile("log_return", F.array(F.lit(0.25), F.lit(0.75))).over(
-            over(FENCE_ROWS)
-        ),
+        "past_returns": F.collect_list("log_return").over(over(FENCE_ROWS)),
     }
 
 
@@ -174,6 +170,8 @@ def with_outliers(df: DataFrame) -> DataFrame:
     z = (c("volume") - c("volume_mean")) / c("volume_std")
     quartiles = df.withColumns({
         "z": F.when(c("volume_std") > 0, z).when(c("volume_std").isNotNull(), F.lit(0.0)),
+        "quartiles": n.quantiles(c("past_returns"), 0.25, 0.75),
+    }).withColumns({
         "q1": F.get("quartiles", F.lit(0)),
         "q3": F.get("quartiles", F.lit(1)),
     })
@@ -183,7 +181,7 @@ def with_outliers(df: DataFrame) -> DataFrame:
         "low_fence": c("q1") - FENCE_WIDTH * spread,
         "high_fence": c("q3") + FENCE_WIDTH * spread,
     })
-    known = c("log_return").isNotNull() & c("q1").isNotNull() & c("q3").isNotNull()
+    known = c("log_return").isNotNull()  # then the frame has at least this value
     overshoot = F.greatest(
         c("low_fence") - c("log_return"), c("log_return") - c("high_fence"), F.lit(0.0)
     )
@@ -291,51 +289,42 @@ def technical_rating(bars: DataFrame, symbols: DataFrame, **series: int) -> Data
     )
 
 
-def _flags(df: DataFrame, kind: str, score: str, threshold: float, outlier: str) -> DataFrame:
-    return df.filter(F.col(outlier).isNotNull()).select(
-        "symbol", "date",
-        F.lit(kind).alias("anomaly_type"), F.col(score).alias("score"),
-        F.lit(threshold).alias("threshold"), F.col(outlier).alias("is_anomaly"),
-    )
-
-
 def _scored(volatility: DataFrame, **series: int) -> DataFrame:
     narrow = volatility.select("symbol", "date", "volume", "log_return")
     return with_outliers(with_series(narrow, [outlier_stage], lookback=FENCE_ROWS - 1, **series))
 
 
+def _verdict(kind: str) -> Column:
+    """The detector's verdict on a row, NULL where its frame is too short for one."""
+    if kind == "volume_zscore":
+        judged, score, limit, outlier = "volume_std", "volume_score", Z_LIMIT, "volume_outlier"
+    else:
+        judged, score, limit, outlier = "log_return", "price_score", FENCE_WIDTH, "price_outlier"
+    return F.when(F.col(judged).isNotNull(), F.struct(
+        F.lit(kind).alias("anomaly_type"), F.col(score).alias("score"),
+        F.lit(limit).alias("threshold"), F.col(outlier).alias("is_anomaly"),
+    ))
+
+
+def long_flags(scored: DataFrame, *kinds: str) -> DataFrame:
+    """One row per detector that has a verdict, all detectors read from the same windows."""
+    verdicts = F.array_compact(F.array(*[_verdict(kind) for kind in kinds]))
+    return scored.select("symbol", "date", F.inline(verdicts))
+
+
 def volume_zscore(volatility: DataFrame, **series: int) -> DataFrame:
     """Volume against the mean and deviation of its last 30 bars."""
-    scored = _scored(volatility, **series)
-    return _flags(scored, "volume_zscore", "volume_score", Z_LIMIT, "volume_outlier")
+    return long_flags(_scored(volatility, **series), "volume_zscore")
 
 
 def price_iqr(volatility: DataFrame, **series: int) -> DataFrame:
     """Return against the Tukey fences of its last 90 bars."""
-    scored = _scored(volatility, **series)
-    return _flags(scored, "price_iqr", "price_score", FENCE_WIDTH, "price_outlier")
+    return long_flags(_scored(volatility, **series), "price_iqr")
 
 
 def anomaly_flags(volatility: DataFrame, **series: int) -> DataFrame:
-    """Both detectors as one long table; the windows are computed once and read twice as rows."""
-    scored = _scored(volatility, **series)
-    return long_flags(scored)
-
-
-def long_flags(scored: DataFrame) -> DataFrame:
-    """Wide detector columns to one row per detector that has a verdict."""
-    kinds = [
-        ("volume_zscore", "volume_score", Z_LIMIT, "volume_outlier"),
-        ("price_iqr", "price_score", FENCE_WIDTH, "price_outlier"),
-    ]
-    rows = F.array(*[
-        F.struct(
-            F.lit(kind).alias("anomaly_type"), F.col(score).alias("score"),
-            F.lit(threshold).alias("threshold"), F.col(outlier).alias("is_anomaly"),
-        )
-        for kind, score, threshold, outlier in kinds
-    ])
-    return scored.select("symbol", "date", F.inline(rows)).filter(F.col("is_anomaly").isNotNull())
+    """Both detectors as one long table."""
+    return long_flags(_scored(volatility, **series), "volume_zscore", "price_iqr")
 
 
 def anomaly_pivot(flags: DataFrame) -> DataFrame:
@@ -349,6 +338,3 @@ def anomaly_pivot(flags: DataFrame) -> DataFrame:
         fired("volume_zscore").alias("has_volume_anomaly"),
     )
 
-
-def union_all(*tables: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables)

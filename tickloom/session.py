@@ -23,6 +23,8 @@ def build_session(app_name: str = "tickloom", master: str | None = None, **conf:
         builder = builder.master(master)
     settings = {
         **RUNTIME_SETTINGS,
+        # recording a call site for every column expression doubles the time to build a plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
