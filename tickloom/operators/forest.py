@@ -25,6 +25,18 @@ def expected_depth(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, general, np.where(n == 2, 1.0, 0.0))
 
 
+def _extremes(slot: np.ndarray, values: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per slot the smallest and largest value of each feature; empty slots have none."""
+    low = np.full((slots, values.shape[1]), np.inf)
+    high = np.full((slots, values.shape[1]), -np.inf)
+    order = np.argsort(slot, kind="stable")
+    sorted_slots, sorted_values = slot[order], values[order]
+    starts = np.flatnonzero(np.r_[True, sorted_slots[1:] != sorted_slots[:-1]])
+    low[sorted_slots[starts]] = np.minimum.reduceat(sorted_values, starts, axis=0)
+    high[sorted_slots[starts]] = np.maximum.reduceat(sorted_values, starts, axis=0)
+    return low, high
+
+
 def isolation_scores(x: np.ndarray, seed: Sequence[int], trees: int, sample: int) -> np.ndarray:
     """Score in (0, 1] for each row of ``x``; higher is easier to isolate."""
     n, features = x.shape
@@ -47,10 +59,7 @@ def isolation_scores(x: np.ndarray, seed: Sequence[int], trees: int, sample: int
         slot = (tree << level) + node
         live = active & in_sample
         held = np.bincount(slot[live], minlength=slots)
-        low = np.full((slots, features), np.inf)
-        high = np.full((slots, features), -np.inf)
-        np.minimum.at(low, slot[live], x[row[live]])
-        np.maximum.at(high, slot[live], x[row[live]])
+        low, high = _extremes(slot[live], x[row[live]], slots)
         varies = high > low
         splits = varies.any(axis=1) & (held > 1) & (level < levels)
 
