@@ -145,6 +145,13 @@ class Inputs:
     def silver_bars(self) -> DataFrame:
         return silver.silver_ohlcv(self.bars)
 
+    @cached_property
+    def stored(self) -> Inputs:
+        """The same inputs over a stored silver table, for queries that read the bars repeatedly."""
+        copy = Inputs(self.spark, self.folder)
+        copy.silver_bars = written(self.silver_bars, "silver")
+        return copy
+
     @cached_property
     def ticks(self) -> DataFrame:
         """Bronze ticks, a tenth of them sent again a minute later with another price."""

@@ -14,7 +14,7 @@ from tickloom.operators.series import with_series
 from tickloom.plans import decision, detectors, gold, readside, silver
 from tickloom.registry.inputs import Inputs
 from tickloom.registry.oracle import LIT, VOTES, fixed, frame, pct, rnd, statement
-from tickloom.session import scratch_path
+from tickloom.session import scratch_path, written
 from tickloom.sources import bars as bar_source, tables
 from tickloom.sources.ticks import decode_ticks
 from tickloom.streaming.ticks import bronze_stream
@@ -85,7 +85,7 @@ SELECT symbol, date, close, CAST(NULL AS BIGINT), sector FROM known_bars WHERE d
 def schema_sync(i: Inputs) -> DataFrame:
     """An append that brings a new column and lacks an old one."""
     date = F.col("date")
-    bars = i.silver_bars
+    bars = i.stored.silver_bars
     old = bars.filter(date <= CUT_DATE).select("symbol", "date", "close", "volume")
     new = gold.with_dimension(bars.filter(date > CUT_DATE), i.symbols, "sector")
     return tables.append_synced(old, new.select("symbol", "date", "close", "sector"))
@@ -151,15 +151,16 @@ UNION ALL
 SELECT symbol, date, anomaly_type, score, threshold, is_anomaly, 'batch' FROM run_volume""")
 def upsert_keys(i: Inputs) -> DataFrame:
     """Batch verdicts take the place of the stored ones of the same date and type."""
-    stored = i.flags.withColumn("detector", F.lit("sql"))
+    i = i.stored
+    flags = i.flags.withColumn("detector", F.lit("sql"))
     batch = detectors.batch_volume_zscore(detectors.ml_features(i.volatility))
-    return up.upsert(stored, batch.withColumn("detector", F.lit("batch")), ["date", "anomaly_type"])
+    return up.upsert(flags, batch.withColumn("detector", F.lit("batch")), ["date", "anomaly_type"])
 
 
 @query("SELECT * FROM volatility")
 def incremental_upsert(i: Inputs) -> DataFrame:
     """Volatility up to a cut, then brought up to date; equals the full run."""
-    bars = i.silver_bars
+    bars = i.stored.silver_bars
     model = lambda b: gold.volatility_index(b, i.symbols)
     stored = model(bars.filter(F.col("date") <= CUT_DATE))
     touched = up.newer_than(bars, "date", stored)
@@ -327,10 +328,11 @@ def down_streak(i: Inputs) -> DataFrame:
 
 @query("SELECT * FROM metarules")
 def metarule_flags(i: Inputs) -> DataFrame:
-    return decision.metarule_flags(i.flags, i.volatility)
+    return decision.metarule_flags(i.stored.flags, i.stored.volatility)
 
 
 def _signal_inputs(i: Inputs) -> DataFrame:
+    i = i.stored
     return decision.signal_inputs(
         i.ratings, i.levels, i.volatility, gold.anomaly_pivot(i.flags), i.sectors,
         decision.cf_engine(i.ratings, i.rules), decision.metarule_flags(i.flags, i.volatility),
@@ -435,7 +437,8 @@ def isolation_forest(i: Inputs) -> DataFrame:
 
 @query()
 def triple_agreement(i: Inputs) -> DataFrame:
-    return detectors.triple_agreement(detectors.detect_all(detectors.ml_features(i.volatility)))
+    runs = written(detectors.ml_features(i.volatility), "runs")  # read by three detectors
+    return detectors.triple_agreement(detectors.detect_all(runs))
 
 
 # --- scalar functions --------------------------------------------------------------------
@@ -617,7 +620,8 @@ def q_sell_near_high(i: Inputs) -> DataFrame:
 SELECT date, active_metarules, count(*) AS symbols_affected FROM metarules
 WHERE date = (SELECT max(date) FROM metarules) AND active_metarules <> '' GROUP BY ALL""")
 def q_metarules_today(i: Inputs) -> DataFrame:
-    return readside.metarules_on_latest_date(decision.metarule_flags(i.flags, i.volatility))
+    metarules = decision.metarule_flags(i.stored.flags, i.stored.volatility)
+    return readside.metarules_on_latest_date(metarules)
 
 
 @query(f"""
@@ -651,7 +655,7 @@ FROM rules r LEFT JOIN (
 ) f ON r.rule_id = f.rule_id""")
 def q_active_rules(i: Inputs) -> DataFrame:
     """The active rules with the number of instrument days each took part in."""
-    voted = i.ratings.agg(*[
+    voted = i.stored.ratings.agg(*[
         F.count_if(F.col(v) != 0).alias(f"R0{k}") for k, v in enumerate(gold.VOTES, 1)
     ])
     gated = _signal_inputs(i).agg(*[F.count_if(F.expr(e)).alias(r) for r, e in _fired.items()])
