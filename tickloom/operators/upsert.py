@@ -38,8 +38,13 @@ def newer_than(df: DataFrame, date: str, target: DataFrame) -> DataFrame:
 
 
 def touched_since(df: DataFrame, stamp: str, target: DataFrame) -> DataFrame:
-    """Rows that arrived after everything the target has seen, also those with an old date."""
-    return newer_than(df, stamp, target)
+    """Rows that arrived since the target's last stamp, also those with an old date.
+
+    Rows with exactly that stamp are taken again: part of their delivery may
+    have come later, and replacing a row by itself changes nothing.
+    """
+    mark = target.agg(F.max(stamp)).scalar()
+    return df.filter(mark.isNull() | (F.col(stamp) >= mark))
 
 
 def recompute_touched(

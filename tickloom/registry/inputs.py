@@ -62,6 +62,15 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def streamed(self) -> Inputs:
+        """The same inputs with the tables read as file streams."""
+        copy = Inputs(self.spark, self.folder)
+        copy.table = lambda name: (
+            self.spark.readStream.schema(TABLE_SCHEMAS[name])
+            .option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
+        )
+        return copy
+
     @cached_property
     def symbols(self) -> DataFrame:
         tier = F.get(

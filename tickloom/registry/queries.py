@@ -17,7 +17,7 @@ from tickloom.registry.oracle import LIT, VOTES, fixed, frame, pct, rnd, stateme
 from tickloom.session import scratch_path, written
 from tickloom.sources import bars as bar_source, tables
 from tickloom.sources.ticks import decode_ticks
-from tickloom.streaming.ticks import bronze_stream
+from tickloom.streaming.ticks import bronze_stream, deduplicated
 
 # Parameters of the queries that take one.
 CUT_DATE = "1999-06-30"
@@ -64,16 +64,10 @@ def ticks_from_json(i: Inputs) -> DataFrame:
 @query("SELECT symbol, event_time, price, volume, event_date FROM ticks_decoded")
 def stream_ticks(i: Inputs) -> DataFrame:
     """The stream over the events file, run to its end, and the table it wrote."""
-    schema = i.table("events").schema
-    events = (
-        i.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-        .parquet(i.folder)
-    )
-    messages = Inputs(i.spark, i.folder)
-    messages.table = lambda name: events
     path = scratch_path(i.spark, "bronze-ticks")
     checkpoint = scratch_path(i.spark, "bronze-ticks-state")
-    bronze_stream(messages.tick_messages, path, checkpoint, interval=None).start().awaitTermination()
+    messages = i.streamed().tick_messages
+    bronze_stream(messages, path, checkpoint, interval=None).start().awaitTermination()
     stored = i.spark.read.parquet(path)
     return plain_times(stored.select("symbol", "event_time", "price", "volume", "event_date"))
 
@@ -179,6 +173,60 @@ def publish_window(i: Inputs) -> DataFrame:
     return up.replace_window(old, new, "date", WINDOW_START, WINDOW_DAYS)
 
 
+@query("""
+SELECT symbol, date, close FROM silver WHERE date >= DATE '1999-07-01'
+UNION ALL SELECT symbol, date, close FROM bars_raw WHERE date < DATE '1999-07-01'""")
+def write_partition_replace(i: Inputs) -> DataFrame:
+    """A table by month in which the later months are written a second time."""
+    path = scratch_path(i.spark, "partitions")
+    month = F.date_format("date", "'m'yyyyMM").alias("month")
+    old = i.bars_raw.select("symbol", "date", "close", month)
+    new = i.silver_bars.filter(F.col("date") > CUT_DATE).select("symbol", "date", "close", month)
+    tables.replace_partitions(old, path, ["month"])
+    tables.replace_partitions(new, path, ["month"])
+    return i.spark.read.parquet(path).drop("month")
+
+
+@query("SELECT symbol, date, close FROM silver")
+def write_bulk(i: Inputs) -> DataFrame:
+    """A table loaded whole and replaced whole by a second load."""
+    path = scratch_path(i.spark, "bulk")
+    tables.bulk_load(i.bars_raw.select("symbol", "date", "close"), path)
+    tables.bulk_load(i.silver_bars.select("symbol", "date", "close"), path)
+    return i.spark.read.parquet(path)
+
+
+@query("""
+SELECT 'silver_ohlcv' AS table_name, count(*) AS published FROM silver
+UNION ALL SELECT 'silver_symbols', count(*) FROM symbols
+UNION ALL SELECT 'gold_52w_levels', NULL""")
+def publish_full(i: Inputs) -> DataFrame:
+    """Two tables copied to a serving folder, a third one absent from the source and skipped."""
+    base = scratch_path(i.spark, "publish")
+    # by month, so that the serving copy has a partition per month and not per day
+    i.silver_bars.withColumn("date", F.trunc("date", "month")).write.parquet(f"{base}/in/silver_ohlcv")
+    i.symbols.write.parquet(f"{base}/in/silver_symbols")
+    counts = tables.publish_all(
+        i.spark, f"{base}/in", f"{base}/out",
+        only=["silver_ohlcv", "silver_symbols", "gold_52w_levels"],
+    )
+    return i.spark.createDataFrame(list(counts.items()), "table_name string, published bigint")
+
+
+@query("SELECT DISTINCT symbol, event_time FROM ticks")
+def stream_dedup(i: Inputs) -> DataFrame:
+    """The ticks and their repeats as a stream, each symbol and time kept once."""
+    path = scratch_path(i.spark, "dedup")
+    streamed = i.streamed().ticks.withWatermark("event_time", "10 seconds")
+    kept = deduplicated(streamed).select("symbol", "event_time")
+    (
+        kept.writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", scratch_path(i.spark, "dedup-state"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return plain_times(i.spark.read.schema(kept.schema).parquet(path))
+
+
 _votes_long = " UNION ALL ".join(
     f"SELECT 'R0{k}' AS rule_id, {v} AS vote FROM ratings" for k, v in enumerate(VOTES, 1)
 )
