@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import chat, mixing, packing, records, simhash
+from tickloom.llm import chat, language, licenses, mixing, packing, pii, quality, records, simhash, vectors
 from tickloom.llm.tokens import public_tokenizer
 from tickloom.session import scratch_path, written
 
@@ -51,6 +51,19 @@ def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.with_starts(found, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+# --- 2: licences -----------------------------------------------------------------------------
+
+
+@query()
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence notices of every document: names, spans and coverage, in order."""
+    found = licenses.with_licenses(table(spark, folder, "documents").select("doc_id", "text"), "found").select("doc_id", "found")
+    spans = F.transform("found", lambda x: F.concat_ws(":", x["license"], x["start"], x["end"]))
+    return found.select(
+        "doc_id", F.size("found").cast("long").alias("n_found"), F.array_join(spans, ",").alias("spans"),
+        F.array_max("found.coverage").alias("coverage"))
+
+
 # --- 3: chats --------------------------------------------------------------------------------
 
 # A conversation that says what marks look like.
@@ -102,6 +115,64 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# --- 5: quality ------------------------------------------------------------------------------
+
+_STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+_S = r"\x20\x09-\x0D"
+
+
+@query(rf"""
+WITH numbered AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {SQL_WORDS} AS w FROM documents
+), lines AS (
+  SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{_S}]')) AS l FROM numbered
+), windows AS (
+  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM numbered WHERE len(w) >= 3)
+), twice AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM windows) WHERE n > 1
+), inside AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM twice, range(3) AS steps(k) GROUP BY rid
+), counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[{_S}]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(length(t) - length(replace(t, '!', '')) AS BIGINT) AS n_exclamations,
+    len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{{L}}'))) AS n_letterless,
+    len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words, len(l) AS n_lines,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[{_S}]*[-*•]'))) AS n_bullets,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[{_S}]*$'))) AS n_ellipses,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM lines LEFT JOIN inside USING (rid)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR word_chars < 2.5 * n_words OR word_chars > 12 * n_words
+    OR n_symbols > 0.1 * n_words OR n_exclamations > 0.3 * n_words OR n_letterless > 0.2 * n_words
+    OR n_stop_words < 0.01 * n_words OR n_dup_lines > 0.3 * n_lines OR n_bullets > 0.9 * n_lines
+    OR n_ellipses > 0.3 * n_lines) AS kept
+FROM counted""")
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts and the verdict of every document."""
+    found = quality.judged(table(spark, folder, "documents").select("doc_id", "text"), into="q")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select("doc_id", *[f"q.{c}" for c in counts])
+
+
+# --- 6: language -----------------------------------------------------------------------------
+
+
+@query()
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicted language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language.fit(docs.filter(~F.coalesce(held_out, F.lit(False))))
+    found = language.with_language(docs.select("doc_id", "text"), model, "found")
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "found.lang_pred", "found.score")
+
+
 # --- 7: packing ------------------------------------------------------------------------------
 
 
@@ -113,6 +184,35 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+# --- 8: personal data ------------------------------------------------------------------------
+
+
+@query()
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """The spans of personal data in every document, and those of the patterns alone."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.fit(docs), "found").select("doc_id", "found")
+    base = F.filter("found", lambda x: x["base"])
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long")
+
+    counts = [number(k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told("found").alias("spans"))
+
+
+# --- 9: near-duplicate vectors ---------------------------------------------------------------
+
+
+@query()
+def op9_vector_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The links and the class of every vector."""
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 # --- 10: mixing ------------------------------------------------------------------------------
 
 MIX = {"weights": (3, 1, 2), "share": 1.5, "most": 2.0, "seed": 0}
