@@ -149,9 +149,10 @@ def scan_words(found: list[str], template: Template, coverage: float, stretch: f
 
 
 def scan(text: str | None, templates: list[Template], coverage: float, stretch: float) -> list[dict]:
-    """The notices of a whole text, by where they start, then by name.
+    """The notices of a whole text, by where they start.
 
-    Of two templates found in overlapping stretches, both are told: one may be part of the other.
+    Of notices that overlap, the one with the most words matched is told, of equals the one that covers more of its
+    template, then the first by name: wordings that differ in a word or hold one another are found as what they are.
     """
     if not text:
         return []
@@ -165,10 +166,15 @@ def scan(text: str | None, templates: list[Template], coverage: float, stretch:
         if marks is None:
             marks = [(m.start(), m.end()) for m in WORDS.finditer(text)]
             found = [text[a:b].lower() for a, b in marks]
-        out += [
-            {"license": t.name, "start": marks[a][0], "end": marks[b - 1][1], "coverage": round(share, 6)}
-            for a, b, share in scan_words(found, t, coverage, stretch)]
-    return sorted(out, key=lambda x: (x["start"], x["license"]))
+        out += [(-round(share * len(t.words)), -share, t.name, a, b) for a, b, share in scan_words(found, t, coverage, stretch)]
+    kept: list[tuple] = []
+    for x in sorted(out):
+        if all(x[4] <= k[3] or k[4] <= x[3] for k in kept):
+            kept.append(x)
+    return sorted(
+        ({"license": name, "start": marks[a][0], "end": marks[b - 1][1], "coverage": round(-share, 6)}
+         for _, share, name, a, b in kept),
+        key=lambda x: x["start"])
 
 
 def with_licenses(

@@ -104,8 +104,9 @@ class Encoder:
         return counts, flat
 
     def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(texts) == 1 and len(texts[0].as_buffer()) > 2 * SLICE_BYTES:
-            parts = [self._by_word(pa.array([x], pa.large_string())) for x in _cut(texts[0].as_py())]
+        long = len(texts) == 1 and len(texts[0].as_buffer()) > 2 * SLICE_BYTES
+        if long and len(cut := _cut(texts[0].as_py())) > 1:
+            parts = [self._by_word(pa.array([x], pa.large_string())) for x in cut]
             ids = np.concatenate([p[1] for p in parts])
             return np.array([len(ids)], np.int64), ids
         parted = pc.replace_substring_regex(texts, rf"([{_LETTER}])([{_SIGN}])", r"\1 \2")
