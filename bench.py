@@ -19,7 +19,7 @@ from tickloom.session import build_session
 HEADLINE = [
     "silver_ohlcv", "silver_ticks", "intraday_vwap", "sector_performance", "volatility_index",
     "levels_52w", "technical_rating", "anomaly_flags", "cf_engine", "metarule_flags",
-    "decision_signals", "forward_close", "case_outcomes", "cbr_lookup", "validation",
+    "decision_signals", "forward_close", "case_outcomes", "cbr_lookup", "cbr_lookup_known", "validation",
     "batch_price_iqr", "isolation_forest",
 ]
 
@@ -35,6 +35,8 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            # sliding frames cost far more per byte than a scan: let small inputs use all cores
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             # several partitions per core, so that symbols spread evenly
             "spark.sql.shuffle.partitions": str(4 * cpus),
         },

@@ -13,15 +13,20 @@ MARGIN = 1e-9
 
 # Share of the last kept digit by which a value may fall short of a tie and still round up.
 TIE = 1e-6
+# From here on every double is a whole number.
+EXACT = float(2 ** 53)
 
 
 def round_half_up(value: Column, digits: int) -> Column:
     """Round half away from zero; a value within noise of a tie counts as the tie.
 
     Plain arithmetic, which compiles to little code; adding 0.0 turns -0.0 into 0.0.
+    A value so large that it has no digits to round stays as it is.
     """
     scale = float(10 ** digits)
-    return F.signum(value) * F.floor(F.abs(value) * scale + (0.5 + TIE)) / scale + 0.0
+    scaled = F.abs(value) * scale
+    near = F.signum(value) * F.floor(scaled + (0.5 + TIE)) / scale + 0.0
+    return F.when(scaled >= EXACT, value).otherwise(near)
 
 
 def rounded(**digits_of: int) -> dict[str, Column]:

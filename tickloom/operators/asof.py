@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -12,32 +13,56 @@ def with_forward_value(
     series: DataFrame,
     *,
     value: str,
-    days_ahead: Mapping[str, int],
-    tolerance: int = 4,
+    windows: Mapping[str, tuple[int, int]],
+    dates: bool = False,
     key: str = "symbol",
     date: str = "date",
 ) -> DataFrame:
-    """For each event the first ``value`` of its series in days ``[date + n, date + n + tolerance]``.
+    """For each event the first ``value`` of its series in days ``[date + low, date + high]``.
 
-    ``days_ahead`` names an output column for each ``n``; no value in range gives
-    NULL. Events and series are put into one ordering by day and read with range
-    frames: one shuffle by key, no join and no candidate rows.
+    ``windows`` names an output column for each ``(low, high)``; no value in range
+    gives NULL. With ``dates`` a column ``<name>_date`` tells the day of the value.
+    Events and series are put into one ordering by day and read with range frames:
+    one shuffle by key, no join and no candidate rows. A task holds the events and
+    values of one key, which daily series bound by their days.
     """
     day = F.datediff(date, F.lit("1970-01-01").cast("date"))
-    points = series.select(
-        key, date, F.col(value).alias("_value"), F.lit(None).cast("string").alias("_event")
-    )
+    point = F.struct(F.col(value).alias("value"), F.col(date).cast("date").alias("date"))
+    points = series.select(key, date, F.when(F.col(value).isNotNull(), point).alias("_point"))
     marks = events.select(
-        key, date, F.lit(None).cast(series.schema[value].dataType).alias("_value"),
+        key, date, F.lit(None).cast(points.schema["_point"].dataType).alias("_point"),
         F.struct(*events.columns).alias("_event"),
     )
     points = points.withColumn("_event", F.lit(None).cast(marks.schema["_event"].dataType))
     order = Window.partitionBy(key).orderBy("_day")
     found = {
-        name: F.first("_value", ignorenulls=True).over(order.rangeBetween(n, n + tolerance))
-        for name, n in days_ahead.items()
+        f"_at_{name}": F.first("_point", ignorenulls=True).over(order.rangeBetween(low, high))
+        for name, (low, high) in windows.items()
     }
+    values = [F.col(f"_at_{name}.value").alias(name) for name in windows]
+    days = [F.col(f"_at_{name}.date").alias(f"{name}_date") for name in windows] if dates else []
     return (
         points.unionByName(marks).withColumn("_day", day).withColumns(found)
-        .filter(F.col("_event").isNotNull()).select("_event.*", *days_ahead)
+        .filter(F.col("_event").isNotNull()).select("_event.*", *values, *days)
     )
+
+
+def value_range(events: DataFrame, high: int, date: str = "date") -> tuple[dt.date, dt.date] | None:
+    """The first day and the last one, ``high`` days on, in which values for the events can lie."""
+    first, last = events.agg(F.min(date).cast("date"), F.max(date).cast("date")).first()
+    return (first, last + dt.timedelta(days=high)) if first else None
+
+
+def in_play(
+    events: DataFrame, series: DataFrame, high: int, key: str = "symbol", date: str = "date"
+) -> DataFrame:
+    """The rows of the series that a lookup of the events can reach.
+
+    The days are found first, so that they reach the scan as plain bounds; ``events``
+    should be a stored table. The keys are a semi join on the distinct ones.
+    """
+    days = value_range(events, high, date)
+    if days is None:
+        return series.filter(F.lit(False))
+    near = series.filter(F.col(date).between(F.lit(days[0]), F.lit(days[1])))
+    return near.join(events.select(key).distinct(), key, "left_semi")

@@ -61,29 +61,36 @@ def similar_totals_known(
     *,
     group: Sequence[str],
     labels: Sequence[str],
-    measures: Mapping[str, Column],
+    measures: Mapping[str, Mapping[str, Column]],
     at: str,
-    known_from: str,
 ) -> DataFrame:
-    """As :func:`similar_totals`, over the cases with ``known_from`` not after the probe's ``at``.
+    """As :func:`similar_totals`, over what is known on the probe's day ``at``.
 
-    Probes and cases are ordered by date within each subset's group and the
-    sums run along it, so a probe reads the state of its own day.
+    ``measures`` are grouped by the column that holds the day from which they are
+    known; where that is NULL they never are. Probes (one per group and day) and
+    cases are ordered by date within each subset's group and the sums run along
+    it, so a probe reads the state of its own day.
     """
     keys = [*group, *labels, at]
-    nothing = {n: F.lit(0).cast("long").alias(n) for n in measures}
-    asked = probes.select(*keys).distinct().select(
+    names = [n for some in measures.values() for n in some]
+    none = F.lit(0).cast("long")
+    asked = probes.select(*keys).select(
         "*", F.inline(_subsets(labels)), F.col(at).alias("_day"), F.lit(True).alias("_asked"),
-        *nothing.values(),
+        *[none.alias(n) for n in names],
     )
+    # a row for each day on which something about the case becomes known
+    news = F.array(*[
+        F.struct(F.col(known).alias("_day"), *[
+            (some[n].cast("long") if n in some else none).alias(n) for n in names
+        ]) for known, some in measures.items()
+    ])
     spread = [*group, "subset", "kept"]
     # cases of one day first become one row, so a run holds at most one case row per day
     given = (
-        cases.select(
-            *group, F.inline(_subsets(labels)), F.col(known_from).alias("_day"),
-            *[m.cast("long").alias(n) for n, m in measures.items()],
-        )
-        .groupBy(*spread, "weight", "_day").agg(*[F.sum(n).alias(n) for n in measures])
+        cases.select(*group, *labels, F.inline(news)).filter(F.col("_day").isNotNull())
+        .groupBy(*group, *labels, "_day").agg(*[F.sum(n).alias(n) for n in names])
+        .select(*group, F.inline(_subsets(labels)), "_day", *names)
+        .groupBy(*spread, "weight", "_day").agg(*[F.sum(n).alias(n) for n in names])
         .withColumn("_asked", F.lit(False))
     )
     so_far = (
@@ -91,7 +98,7 @@ def similar_totals_known(
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = asked.unionByName(given, allowMissingColumns=True).withColumns(
-        {n: F.sum(n).over(so_far) for n in measures}
+        {n: F.sum(n).over(so_far) for n in names}
     )
-    weighted = [F.sum(F.col("weight") * F.col(n)).alias(n) for n in measures]
+    weighted = [F.sum(F.col("weight") * F.col(n)).alias(n) for n in names]
     return running.filter("_asked").groupBy(*keys).agg(*weighted)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import dates, labels, numeric as n, text
-from tickloom.operators.asof import with_forward_value
+from tickloom.operators.asof import in_play, with_forward_value
 from tickloom.operators.quality import against_decision_table
 from tickloom.operators.series import Frame, with_series
 from tickloom.operators.similarity import similar_totals, similar_totals_known
@@ -220,20 +221,31 @@ def buy_gates() -> list[tuple[Column, Column]]:
     ]
 
 
+def sell_conditions() -> list[Column]:
+    """What makes a sell, each on its own: the rating, or an outlier under a negative score."""
+    c = F.col
+    return [c("rating").isin(*SELL_RATINGS), c("has_price_anomaly") & (c("signal_score") < 0)]
+
+
+def _surely(condition: Column) -> Column:
+    """False where it is unknown whether the condition holds."""
+    return F.coalesce(condition, F.lit(False))
+
+
 def with_signal(inputs: DataFrame) -> DataFrame:
-    """BUY when no gate stops it, else SELL, else HOLD; plus the gate's text.
+    """BUY when every gate is known to be open, else SELL, else HOLD; plus why it is no BUY.
 
     The signal and the reason against buying come from the same list, so they
-    cannot disagree.
+    cannot disagree. A gate that cannot be judged stops a buy without a text of its own.
     """
-    c = F.col
-    sell_rating = c("rating").isin(*SELL_RATINGS)
-    anomaly_sell = c("has_price_anomaly") & (c("signal_score") < 0)
-    blocked = inputs.withColumn("why_not_buy", text.first_text(buy_gates()))
-    return blocked.withColumns({
-        "signal": F.when(c("why_not_buy").isNull(), F.lit("BUY"))
-        .when(sell_rating | anomaly_sell, F.lit("SELL")).otherwise(F.lit("HOLD")),
-        "confidence": labels.confidence(c("combined_cf")),
+    gates = buy_gates()
+    open_ = reduce(Column.__and__, [_surely(~closed) for closed, _ in gates])
+    sells = reduce(Column.__or__, [_surely(s) for s in sell_conditions()])
+    reason = text.first_text(gates, F.lit("BUY not triggered"))
+    return inputs.withColumns({
+        "signal": F.when(open_, F.lit("BUY")).when(sells, F.lit("SELL")).otherwise(F.lit("HOLD")),
+        "why_not_buy": F.when(~open_, reason),
+        "confidence": labels.confidence(F.col("combined_cf")),
     })
 
 
@@ -257,19 +269,17 @@ def why_signal() -> Column:
 
 
 def why_not_sell() -> Column:
-    """NULL for a SELL. What is left has no sell rating and no anomaly with a negative score."""
+    """NULL for a SELL, else which half of the outlier condition is missing besides the rating."""
     c = F.col
-    return text.first_text([
-        (c("signal") == "SELL", F.lit(None).cast("string")),
-        (~c("rating").isin(*SELL_RATINGS) & ~c("has_price_anomaly"),
+    by_rating, _ = sell_conditions()
+    missing = text.first_text([
+        (~by_rating & ~c("has_price_anomaly"),
          text.sentence("SELL not triggered: rating is '", c("rating"), "' and no price anomaly")),
-        (~c("rating").isin(*SELL_RATINGS) & (c("signal_score") >= 0),
+        (~by_rating & (c("signal_score") >= 0),
          text.sentence("SELL not triggered: price anomaly present but signal_score=",
                        c("signal_score"), " is non-negative (anomaly SELL requires score < 0)")),
-        (~c("rating").isin(*SELL_RATINGS),
-         text.sentence("SELL not triggered: rating is '", c("rating"), "' (score=",
-                       c("signal_score"), ")")),
     ], F.lit("SELL not triggered"))
+    return F.when(c("signal") != "SELL", missing)
 
 
 def reasoning_trace() -> Column:
@@ -365,34 +375,52 @@ def pending_signals(
     youngest: int = SHORT_HORIZON,
     oldest: int | None = OLDEST_PENDING_DAYS,
 ) -> DataFrame:
-    """Signals old enough to be judged whose outcome is not recorded yet.
+    """Signals old enough to be judged whose outcome is not recorded yet, or not to the end.
 
-    ``oldest=None`` looks at the whole history, as after a long break.
+    An outcome without a 20-day price is open until there is one, or the signal is
+    older than ``oldest`` days. ``oldest=None`` looks at the whole history, as
+    after a long break.
     """
     date = F.col("date")
     due = date <= F.date_sub(today, youngest)
     if oldest is not None:
         due = due & (date >= F.date_sub(today, oldest))
-    recorded = outcomes.select("symbol", F.col("signal_date").cast("date").alias("date"))
+    recorded = outcomes.filter("close_20d IS NOT NULL").select("symbol", F.col("signal_date").cast("date").alias("date"))
     return signals.filter(due).select(
         "symbol", "date", "signal", "combined_cf", "signal_score", "sector",
         F.col("close").alias("close_at_signal"),
     ).join(recorded, ["symbol", "date"], "left_anti")
 
 
+HORIZONS = {
+    "close_5d": (SHORT_HORIZON, SHORT_HORIZON + HORIZON_TOLERANCE),
+    "close_20d": (LONG_HORIZON, LONG_HORIZON + HORIZON_TOLERANCE),
+}
+LAST_DAY_AHEAD = LONG_HORIZON + HORIZON_TOLERANCE
+
+
 def forward_close(signals: DataFrame, prices: DataFrame) -> DataFrame:
     """Adds the first close in days 5 to 9 and 20 to 24 after each row's date."""
-    return with_forward_value(
-        signals, prices, value="close", tolerance=HORIZON_TOLERANCE,
-        days_ahead={"close_5d": SHORT_HORIZON, "close_20d": LONG_HORIZON},
-    )
+    return with_forward_value(signals, prices, value="close", windows=HORIZONS)
+
+
+def prices_in_play(pending: DataFrame, prices: DataFrame) -> DataFrame:
+    """The prices that the outcomes of (stored) pending signals can depend on."""
+    return in_play(pending, prices, LAST_DAY_AHEAD)
 
 
 def case_outcomes(pending: DataFrame, prices: DataFrame) -> DataFrame:
-    """Forward returns and WIN or LOSS; signals without a 5-day price are left out."""
+    """Forward returns and WIN or LOSS; signals without a 5-day price are left out.
+
+    A signal without a close starts from the price of its day. ``known_5d`` and
+    ``known_20d`` are the days from which the two returns are known.
+    """
     c = F.col
+    found = with_forward_value(
+        pending, prices, value="close", windows={"close_0d": (0, 0), **HORIZONS}, dates=True)
+    begun = F.coalesce(F.when(c("close_at_signal") > 0, c("close_at_signal")), c("close_0d"))
     start = c("close_at_signal")
-    priced = forward_close(pending, prices).filter(
+    priced = found.withColumn("close_at_signal", begun).filter(
         (start > 0) & c("close_5d").isNotNull()
     ).withColumns({
         "return_5d": n.pct_change(c("close_5d"), start),
@@ -408,6 +436,7 @@ def case_outcomes(pending: DataFrame, prices: DataFrame) -> DataFrame:
         F.coalesce("sector", F.lit("")).alias("sector"),
         "close_at_signal", "close_5d", "close_20d", "return_5d", "return_20d",
         F.when(won, F.lit("WIN")).otherwise(F.lit("LOSS")).alias("outcome"),
+        c("close_5d_date").alias("known_5d"), c("close_20d_date").alias("known_20d"),
     )
 
 
@@ -432,18 +461,22 @@ def judged_cases(signals: DataFrame, outcomes: DataFrame) -> DataFrame:
     recorded = outcomes.filter(F.col("outcome").isNotNull()).select(
         "symbol", F.col("signal_date").cast("date").alias("date"),
         F.col("signal").alias("case_signal"), F.col("signal_score"),
-        "outcome", "return_5d", "return_20d",
+        "outcome", "return_5d", "return_20d", "known_5d", "known_20d",
     )
     features = signals.select(
         "symbol", "date", "annualized_vol", "rsi14", "pct_from_high", "sector_advance_ratio"
     )
     return with_bins(recorded.join(features, ["symbol", "date"])).select(
-        "symbol", "date", "case_signal", "outcome", "return_5d", "return_20d", *BINS
+        "symbol", "date", "case_signal", "outcome", "return_5d", "return_20d", "known_5d",
+        "known_20d", *BINS
     )
 
 
-def _measures() -> dict[str, Column]:
-    """Case totals as whole numbers; returns carry six decimals, so millionths are exact."""
+def _measures() -> dict[str, dict[str, Column]]:
+    """Case totals by the day they are known from.
+
+    They are whole numbers; returns carry six decimals, so millionths are exact.
+    """
     c = F.col
 
     def flag(condition: Column) -> Column:
@@ -452,7 +485,7 @@ def _measures() -> dict[str, Column]:
     def millionths(value: Column) -> Column:
         return F.coalesce(F.round(value * 1e6).cast("bigint"), F.lit(0).cast("bigint"))
 
-    return {
+    judged = {
         "cases": F.lit(1).cast("bigint"),
         "wins": flag(c("outcome") == "WIN"),
         "buys": flag(c("case_signal") == "BUY"),
@@ -460,31 +493,34 @@ def _measures() -> dict[str, Column]:
         "holds": flag(c("case_signal") == "HOLD"),
         "with_5d": flag(c("return_5d").isNotNull()),
         "sum_5d": millionths(c("return_5d")),
+    }
+    later = {
         "with_20d": flag(c("return_20d").isNotNull()),
         "sum_20d": millionths(c("return_20d")),
     }
+    return {"known_5d": judged, "known_20d": later}
 
 
 def cbr_lookup(signals: DataFrame, outcomes: DataFrame, known_only: bool = True) -> DataFrame:
     """For each signal what happened after similar ones of the same symbol.
 
-    Similar means at least three of the five bins agree. By default only cases
-    whose 5-day outcome was known by the signal's date count, so nothing is
-    taken from the future; ``known_only=False`` compares with the whole library.
+    Similar means at least three of the five bins agree. By default a case counts
+    from the day of its 5-day price on, and its 20-day return from the day of that
+    price, so nothing is taken from the future; ``known_only=False`` compares with
+    the whole library.
     """
     c = F.col
     current = feature_bins(signals)
     cases = judged_cases(signals, outcomes)
     if known_only:
-        known_from = F.date_add("date", SHORT_HORIZON + HORIZON_TOLERANCE)
         totals = similar_totals_known(
-            current, cases.withColumn("known_from", known_from), group=["symbol"], labels=BINS,
-            measures=_measures(), at="date", known_from="known_from",
+            current, cases, group=["symbol"], labels=BINS, measures=_measures(), at="date"
         )
         found = current.join(totals, ["symbol", *BINS, "date"], "left")
     else:
         totals = similar_totals(
-            current, cases, group=["symbol"], labels=BINS, measures=_measures()
+            current, cases, group=["symbol"], labels=BINS,
+            measures={n: m for some in _measures().values() for n, m in some.items()},
         )
         found = current.join(totals, ["symbol", *BINS], "left")
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tickloom import schemas
 from tickloom.functions import dates, labels, numeric as n, text
 from tickloom.operators import quality, upsert as up
 from tickloom.operators.dedup import latest_per_key
@@ -15,16 +16,17 @@ from tickloom.plans import decision, detectors, gold, readside, silver
 from tickloom.registry.inputs import Inputs
 from tickloom.registry.oracle import LIT, VOTES, fixed, frame, pct, rnd, statement
 from tickloom.session import scratch_path, written
-from tickloom.sources import bars as bar_source, tables
+from tickloom.sources import bars as bar_source, seeds, tables
 from tickloom.sources.ticks import decode_ticks
-from tickloom.streaming.ticks import bronze_stream, deduplicated
+from tickloom.streaming.ticks import bronze_stream, compact_days, deduplicated, read_bronze
 
 # Parameters of the queries that take one.
 CUT_DATE = "1999-06-30"
 WINDOW_START, WINDOW_DAYS = "1998-03-01", 7
 CHECK_TIME = "2024-01-31 12:00:00"
 TRACED_SYMBOL = "NATION_1"
-WIDE_SYMBOLS = [f"NATION_{i}" for i in range(25)]
+# The events cover some thirty days and their files have no order, so a tick may come that late.
+DEDUP_LATENESS = "31 days"
 STATUSES = ["live", "simulated", "pre-market", "post-market"]
 
 
@@ -61,14 +63,26 @@ def ticks_from_json(i: Inputs) -> DataFrame:
     return plain_times(decode_ticks(i.tick_messages))
 
 
+def in_batches(df: DataFrame, name: str, files: int = 4) -> DataFrame:
+    """The rows as a file stream that brings one file, in no order of time, per micro-batch."""
+    path = scratch_path(df.sparkSession, name)
+    df.repartition(files).write.parquet(path)
+    return (
+        df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    )
+
+
 @query("SELECT symbol, event_time, price, volume, event_date FROM ticks_decoded")
 def stream_ticks(i: Inputs) -> DataFrame:
-    """The stream over the events file, run to its end, and the table it wrote."""
+    """The stream over the events in several micro-batches, run to its end, and the table it wrote."""
     path = scratch_path(i.spark, "bronze-ticks")
     checkpoint = scratch_path(i.spark, "bronze-ticks-state")
-    messages = i.streamed().tick_messages
+    messages = in_batches(i.tick_messages, "messages")
     bronze_stream(messages, path, checkpoint, interval=None).start().awaitTermination()
-    stored = i.spark.read.parquet(path)
+    # closed days are compacted, the last ones stay as the stream wrote them
+    last = read_bronze(i.spark, path).agg(F.max("event_date")).first()[0]
+    compact_days(i.spark, path, last)
+    stored = read_bronze(i.spark, path)
     return plain_times(stored.select("symbol", "event_time", "price", "volume", "event_date"))
 
 
@@ -77,12 +91,14 @@ SELECT symbol, date, close, volume, CAST(NULL AS VARCHAR) AS sector FROM silver
 UNION ALL
 SELECT symbol, date, close, CAST(NULL AS BIGINT), sector FROM known_bars WHERE date > DATE '1999-06-30'""")
 def schema_sync(i: Inputs) -> DataFrame:
-    """An append that brings a new column and lacks an old one."""
-    date = F.col("date")
+    """An append that brings a new column and lacks an old one, written and read back."""
+    date, path = F.col("date"), scratch_path(i.spark, "synced")
     bars = i.stored.silver_bars
     old = bars.filter(date <= CUT_DATE).select("symbol", "date", "close", "volume")
     new = gold.with_dimension(bars.filter(date > CUT_DATE), i.symbols, "sector")
-    return tables.append_synced(old, new.select("symbol", "date", "close", "sector"))
+    tables.append(old, path)
+    tables.append(new.select("symbol", "date", "close", "sector"), path)
+    return tables.read_merged(i.spark, path)
 
 
 @query(f"""
@@ -97,10 +113,12 @@ def bars_ingest(i: Inputs) -> DataFrame:
         "open": F.when(day % 17 != 6, F.col("open")),
         "volume": F.when(day % 13 != 4, F.col("volume")),
     })
-    wide = gaps.groupBy(F.col("date").alias("Date")).pivot("symbol", WIDE_SYMBOLS).agg(*[
+    # one column block per symbol of the dimension
+    symbols = [r.symbol for r in i.symbols.select("symbol").orderBy("symbol").collect()]
+    wide = gaps.groupBy(F.col("date").alias("Date")).pivot("symbol", symbols).agg(*[
         F.first(f.lower()).alias(f) for f in bar_source.BAR_FIELDS
     ])
-    return bar_source.bars_from_wide(wide, WIDE_SYMBOLS)
+    return bar_source.bars_from_wide(wide, symbols)
 
 
 @query("SELECT * FROM symbols")
@@ -140,7 +158,7 @@ def session_flag(i: Inputs) -> DataFrame:
 
 @query("""
 SELECT symbol, date, anomaly_type, score, threshold, is_anomaly, 'sql' AS detector FROM flags
-WHERE (date, anomaly_type) NOT IN (SELECT (date, anomaly_type) FROM run_volume)
+WHERE NOT EXISTS (SELECT 1 FROM run_volume r WHERE r.date = flags.date AND r.anomaly_type = flags.anomaly_type)
 UNION ALL
 SELECT symbol, date, anomaly_type, score, threshold, is_anomaly, 'batch' FROM run_volume""")
 def upsert_keys(i: Inputs) -> DataFrame:
@@ -167,10 +185,13 @@ SELECT symbol, date, close FROM silver WHERE date >= DATE '1998-03-01' AND date
 UNION ALL
 SELECT symbol, date, close FROM bars_raw WHERE NOT (date >= DATE '1998-03-01' AND date < DATE '1998-03-08')""")
 def publish_window(i: Inputs) -> DataFrame:
-    """A week of an older copy replaced by the current bars."""
+    """A week of an older serving copy replaced by the current bars, read back."""
+    path = scratch_path(i.spark, "serving")
     old = i.bars_raw.select("symbol", "date", "close")
     new = i.silver_bars.select("symbol", "date", "close")
-    return up.replace_window(old, new, "date", WINDOW_START, WINDOW_DAYS)
+    tables.bulk_load(tables.by_month(old, "date"), path, ["month"])
+    tables.publish_window(new, path, "date", WINDOW_START, WINDOW_DAYS)
+    return i.spark.read.parquet(path).drop("month")
 
 
 @query("""
@@ -197,27 +218,33 @@ def write_bulk(i: Inputs) -> DataFrame:
 
 
 @query("""
-SELECT 'silver_ohlcv' AS table_name, count(*) AS published FROM silver
-UNION ALL SELECT 'silver_symbols', count(*) FROM symbols
-UNION ALL SELECT 'gold_52w_levels', NULL""")
+SELECT 'silver_ohlcv' AS table_name, symbol, date, close, volume, (SELECT count(*) FROM silver) AS published FROM silver
+UNION ALL SELECT 'silver_symbols', symbol, NULL, NULL, NULL, (SELECT count(*) FROM symbols) FROM symbols
+UNION ALL SELECT 'gold_52w_levels', NULL, NULL, NULL, NULL, NULL""")
 def publish_full(i: Inputs) -> DataFrame:
-    """Two tables copied to a serving folder, a third one absent from the source and skipped."""
+    """Two tables copied to a serving folder and read back, a third one absent from the source and skipped."""
     base = scratch_path(i.spark, "publish")
-    # by month, so that the serving copy has a partition per month and not per day
-    i.silver_bars.withColumn("date", F.trunc("date", "month")).write.parquet(f"{base}/in/silver_ohlcv")
+    i.silver_bars.write.parquet(f"{base}/in/silver_ohlcv")
     i.symbols.write.parquet(f"{base}/in/silver_symbols")
     counts = tables.publish_all(
         i.spark, f"{base}/in", f"{base}/out",
         only=["silver_ohlcv", "silver_symbols", "gold_52w_levels"],
     )
-    return i.spark.createDataFrame(list(counts.items()), "table_name string, published bigint")
+    told = i.spark.createDataFrame(list(counts.items()), "table_name string, published bigint")
+    copies = [
+        i.spark.read.parquet(f"{base}/out/{name}").withColumn("table_name", F.lit(name))
+        for name in ("silver_ohlcv", "silver_symbols")
+    ]
+    rows = copies[0].unionByName(copies[1], allowMissingColumns=True)
+    return told.join(rows, "table_name", "left").select(
+        "table_name", "symbol", "date", "close", "volume", "published")
 
 
 @query("SELECT DISTINCT symbol, event_time FROM ticks")
 def stream_dedup(i: Inputs) -> DataFrame:
     """The ticks and their repeats as a stream, each symbol and time kept once."""
     path = scratch_path(i.spark, "dedup")
-    streamed = i.streamed().ticks.withWatermark("event_time", "10 seconds")
+    streamed = in_batches(i.ticks, "ticks").withWatermark("event_time", DEDUP_LATENESS)
     kept = deduplicated(streamed).select("symbol", "event_time")
     (
         kept.writeStream.format("parquet").option("path", path)
@@ -233,12 +260,12 @@ _votes_long = " UNION ALL ".join(
 
 
 @query(f"""
-SELECT r.rule_id, r.rule_name, r.certainty_factor, count(*) FILTER (v.vote = 1) AS buy_votes,
-       count(*) FILTER (v.vote = -1) AS sell_votes
-FROM rules r JOIN ({_votes_long}) v ON r.rule_id = v.rule_id
-GROUP BY ALL""")
+SELECT r.*, coalesce(v.buy_votes, 0) AS buy_votes, coalesce(v.sell_votes, 0) AS sell_votes
+FROM rules r LEFT JOIN (
+  SELECT rule_id, count(*) FILTER (vote = 1) AS buy_votes, count(*) FILTER (vote = -1) AS sell_votes
+  FROM ({_votes_long}) GROUP BY rule_id) v ON r.rule_id = v.rule_id""")
 def seed_rules(i: Inputs) -> DataFrame:
-    """The seeded inference rules with how often each has voted."""
+    """All seeded rules with how often each has voted; those that do not vote have 0."""
     votes = i.ratings.agg(*[
         expr for v in gold.VOTES for expr in (
             F.count_if(F.col(v) == 1).alias(f"{v}__buy"), F.count_if(F.col(v) == -1).alias(f"{v}__sell")
@@ -249,9 +276,7 @@ def seed_rules(i: Inputs) -> DataFrame:
                  F.col(f"{v}__sell").alias("sell_votes"))
         for v in gold.VOTES
     ])))
-    return i.rules.join(counted, "indicator_column").select(
-        "rule_id", "rule_name", "certainty_factor", "buy_votes", "sell_votes"
-    )
+    return i.rules.join(counted, "indicator_column", "left").fillna(0, ["buy_votes", "sell_votes"])
 
 
 # --- silver and its operators ------------------------------------------------------------
@@ -406,7 +431,7 @@ def feature_bins(i: Inputs) -> DataFrame:
 SELECT symbol, date, signal, combined_cf, signal_score, sector, close AS close_at_signal FROM signals
 WHERE date BETWEEN (SELECT max(date) FROM signals) - 30 AND (SELECT max(date) FROM signals) - 5
   AND NOT (EXISTS (SELECT 1 FROM outcomes o WHERE o.symbol = signals.symbol AND o.signal_date = signals.date
-                   AND (o.signal_date - DATE '1995-01-01') % 2 = 0))""")
+                   AND o.close_20d IS NOT NULL AND (o.signal_date - DATE '1995-01-01') % 2 = 0))""")
 def pending_signals(i: Inputs) -> DataFrame:
     """Signals of the last weeks without an outcome, in a library that knows every other day."""
     day = F.datediff("signal_date", F.lit("1995-01-01").cast("date"))
@@ -414,6 +439,24 @@ def pending_signals(i: Inputs) -> DataFrame:
     return decision.pending_signals(i.stored_signals, recorded, i.last_date)
 
 
+_pending = """
+FROM signals WHERE date BETWEEN DATE '1999-06-30' - 30 AND DATE '1999-06-30' - 5
+  AND sector IN ('AFRICA', 'ASIA')"""
+
+
+@query(f"""
+SELECT symbol, date, close FROM silver
+WHERE symbol IN (SELECT symbol {_pending})
+  AND date BETWEEN (SELECT min(date) {_pending}) AND (SELECT max(date) {_pending}) + 24""")
+def prices_in_play(i: Inputs) -> DataFrame:
+    """The prices that one day's pending signals of two regions need."""
+    known = i.stored_signals.filter(F.col("sector").isin("AFRICA", "ASIA"))
+    none_yet = seeds.empty_table(i.spark, schemas.CASE_OUTCOMES)
+    pending = written(
+        decision.pending_signals(known, none_yet, F.lit(CUT_DATE).cast("date")), "pending")
+    return decision.prices_in_play(pending, i.silver_bars.select("symbol", "date", "close"))
+
+
 @query("""
 SELECT symbol, date, close, close_5d, close_20d FROM forward""")
 def forward_close(i: Inputs) -> DataFrame:
@@ -607,25 +650,15 @@ SELECT signal, lower(replace(rating, ' ', '_')) AS rating_category, has_price_an
        m02_consecutive_down OR g03_extreme_volatility
          OR (m01_tighten_buy AND signal_score < required_score_for_buy) AS blocks
 FROM classified"""
-_decision_rows = """
-  ('S01', 'strong_buy', FALSE, TRUE, FALSE, FALSE, 'BUY'), ('S02', 'buy', FALSE, TRUE, FALSE, FALSE, 'BUY'),
-  ('S03', 'strong_buy', FALSE, FALSE, FALSE, FALSE, 'HOLD'), ('S04', 'buy', FALSE, FALSE, FALSE, FALSE, 'HOLD'),
-  ('S05', 'strong_buy', TRUE, TRUE, FALSE, FALSE, 'HOLD'), ('S06', 'buy', TRUE, TRUE, FALSE, FALSE, 'HOLD'),
-  ('S07', 'strong_buy', FALSE, TRUE, FALSE, TRUE, 'HOLD'), ('S08', 'buy', FALSE, TRUE, FALSE, TRUE, 'HOLD'),
-  ('S09', 'neutral', FALSE, TRUE, FALSE, FALSE, 'HOLD'), ('S10', 'neutral', FALSE, FALSE, FALSE, FALSE, 'HOLD'),
-  ('S11', 'neutral', TRUE, TRUE, FALSE, FALSE, 'HOLD'), ('S12', 'neutral', TRUE, NULL, TRUE, FALSE, 'SELL'),
-  ('S13', 'sell', FALSE, FALSE, FALSE, FALSE, 'SELL'), ('S14', 'sell', FALSE, TRUE, FALSE, FALSE, 'SELL'),
-  ('S15', 'strong_sell', FALSE, FALSE, FALSE, FALSE, 'SELL'), ('S16', 'strong_sell', FALSE, TRUE, FALSE, FALSE, 'SELL'),
-  ('S17', 'strong_sell', TRUE, FALSE, TRUE, FALSE, 'SELL'), ('S18', 'sell', TRUE, NULL, TRUE, FALSE, 'SELL'),
-  ('S19', 'buy', TRUE, FALSE, FALSE, FALSE, 'HOLD'), ('S20', 'strong_buy', TRUE, FALSE, FALSE, FALSE, 'HOLD')"""
-
-
 @query(f"""
-SELECT state_id, s.signal AS given, expected, count(*) AS cases, s.signal = expected AS conforms
+SELECT state_id, s.signal AS given, expected_signal AS expected, count(*) AS cases,
+       s.signal = expected_signal AS conforms
 FROM ({_states}) s
-LEFT JOIN (VALUES {_decision_rows}) AS t(state_id, category, anomaly, advance, negative, blocks, expected)
-  ON s.rating_category = t.category AND s.anomaly = t.anomaly AND s.negative = t.negative
- AND s.blocks = t.blocks AND (t.advance IS NULL OR s.advance = t.advance)
+LEFT JOIN decision_rows t
+  ON s.rating_category = t.rating_category AND CAST(s.anomaly AS VARCHAR) = t.has_price_anomaly
+ AND CAST(s.negative AS VARCHAR) = t.signal_score_negative
+ AND CAST(s.blocks AS VARCHAR) = t.any_metarule_blocks_buy
+ AND (t.sector_advance_gte_50pct = 'any' OR CAST(s.advance AS VARCHAR) = t.sector_advance_gte_50pct)
 GROUP BY ALL""")
 def dq_decision_table(i: Inputs) -> DataFrame:
     return decision.decision_table_report(_signal_inputs(i), i.decision_table)
@@ -695,12 +728,13 @@ _fired = {
 
 
 @query(f"""
-SELECT r.rule_id, r.rule_name, r.category, r.certainty_factor, coalesce(f.days, 0) AS days_fired
+SELECT r.rule_id, r.rule_name, r.category, r.certainty_factor, r.condition_description,
+       coalesce(f.days, 0) AS days_fired
 FROM rules r LEFT JOIN (
   SELECT rule_id, count(*) FILTER (vote <> 0) AS days FROM ({_votes_long}) GROUP BY rule_id
   UNION ALL {' UNION ALL '.join(
       f"SELECT '{rule}', count(*) FILTER ({sql}) FROM inputs" for rule, sql in _fired.items())}
-) f ON r.rule_id = f.rule_id""")
+) f ON r.rule_id = f.rule_id WHERE r.is_active""")
 def q_active_rules(i: Inputs) -> DataFrame:
     """The active rules with the number of instrument days each took part in."""
     voted = i.stored.ratings.agg(*[
@@ -710,15 +744,15 @@ def q_active_rules(i: Inputs) -> DataFrame:
     days = voted.unpivot([], voted.columns, "rule_id", "days_fired").unionByName(
         gated.unpivot([], gated.columns, "rule_id", "days_fired")
     )
-    active = readside.active_rules(i.rules).drop("condition_description")
-    return active.join(days, "rule_id", "left").fillna({"days_fired": 0})
+    return readside.active_rules(i.rules).join(days, "rule_id", "left").fillna({"days_fired": 0})
 
 
 @query("""
 SELECT 'bronze' AS table_name, symbol, count(*) AS n FROM bars GROUP BY symbol
-UNION ALL SELECT 'silver', symbol, count(*) FROM silver GROUP BY symbol""")
+UNION ALL SELECT 'silver', symbol, count(*) FROM silver GROUP BY symbol
+UNION ALL SELECT 'bronze_ticks', symbol, count(*) FROM ticks GROUP BY symbol""")
 def q_counts(i: Inputs) -> DataFrame:
-    return readside.rows_per_symbol(bronze=i.bars, silver=i.silver_bars)
+    return readside.rows_per_symbol(bronze=i.bars, silver=i.silver_bars, bronze_ticks=i.ticks)
 
 
 @query(f"""

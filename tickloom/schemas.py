@@ -48,5 +48,5 @@ ANOMALY_FLAGS = _schema(
 CASE_OUTCOMES = _schema(
     symbol=_string, signal_date=_date, signal=_string, combined_cf=_double, signal_score=_int,
     sector=_string, close_at_signal=_double, close_5d=_double, close_20d=_double,
-    return_5d=_double, return_20d=_double, outcome=_string,
+    return_5d=_double, return_20d=_double, outcome=_string, known_5d=_date, known_20d=_date,
 )

@@ -9,11 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
-RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    # sliding frames cost far more per byte than a scan: let small inputs use all cores
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-}
+RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(app_name: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:

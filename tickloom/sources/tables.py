@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tickloom.operators.upsert import within
+from tickloom.operators.upsert import replace_window, within
+from tickloom.session import written
 
 
 @dataclass(frozen=True)
@@ -55,11 +57,6 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def append_synced(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Target and rows under the union of their columns."""
-    return target.unionByName(rows, allowMissingColumns=True)
-
-
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace the partitions that occur in ``df``, leave the others alone.
 
@@ -85,23 +82,53 @@ def bulk_load(
     ).parquet(path)
 
 
+def month_number(date: Column) -> Column:
+    """The month of a date as a whole number, 199903: the partition of dated tables."""
+    day = date.cast("date")
+    return F.year(day) * 100 + F.month(day)
+
+
+def by_month(df: DataFrame, date: str) -> DataFrame:
+    return df.withColumn("month", month_number(F.col(date)))
+
+
+def in_months(df: DataFrame, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """The partitions of the months from ``since`` to ``until``; others are not listed or opened."""
+    if since:
+        df = df.filter(F.col("month") >= since.year * 100 + since.month)
+    if until:
+        df = df.filter(F.col("month") <= until.year * 100 + until.month)
+    return df
+
+
 def publish_window(source: DataFrame, path: str, date: str, start: str, days: int) -> None:
     """Make the serving table's ``[start, start + days)`` equal to the source's.
 
-    Days the source has are replaced by the write; days it no longer has are
-    removed afterwards, so a repeated run ends in the same state.
+    The table is partitioned by month. The months of the window are read, their rows
+    of the window exchanged, and the months written again; a month that has become
+    empty is removed, so a repeated run ends in the same state.
     """
     spark = source.sparkSession
-    rows = source.filter(within(F.col(date), start, days))
-    replace_partitions(rows, path, [date])
-    window_days = spark.range(days).select(
-        F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias(date)
-    )
-    # at most one row per day of the window
-    emptied = window_days.join(rows.select(date), date, "left_anti").collect()
-    for row in emptied:
-        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{date}={row[0].isoformat()}")
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    first = dt.date.fromisoformat(start)
+    last = first + dt.timedelta(days=days - 1)
+    fresh = by_month(source.drop("month").filter(within(F.col(date), start, days)), date)
+    if table_exists(spark, path):
+        stored = in_months(spark.read.parquet(path), first, last)
+        fresh = replace_window(stored, fresh, date, start, days)
+    rows = written(fresh, "window")
+    replace_partitions(rows, path, ["month"])
+    filled = {r.month for r in rows.select("month").distinct().collect()}
+    month = first.replace(day=1)
+    while month <= last:
+        number = month.year * 100 + month.month
+        if number not in filled:
+            remove(spark, f"{path}/month={number}")
+        month = (month + dt.timedelta(days=32)).replace(day=1)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    gone = spark._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def publish_all(
@@ -122,9 +149,12 @@ def publish_all(
         if not table_exists(spark, source):
             counts[table.name] = None
             continue
-        parts = [table.date] if table.date else []
-        bulk_load(spark.read.parquet(source), target, parts, truncate=truncate)
-        counts[table.name] = spark.read.parquet(target).count()
+        rows, seen = spark.read.parquet(source).drop("month"), Observation()
+        dated = by_month(rows, table.date) if table.date else rows
+        # counted while it is written
+        counted = dated.observe(seen, F.count(F.lit(1)).alias("n"))
+        bulk_load(counted, target, ["month"] if table.date else [], truncate=truncate)
+        counts[table.name] = seen.get["n"]
     return counts
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tickloom.session import written
+from tickloom.sources.tables import remove, replace_partitions, table_exists
 from tickloom.sources.ticks import decode_ticks
 
 WATERMARK_DELAY = "10 seconds"
@@ -23,36 +26,99 @@ def tick_stream(messages: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
 
 
 def deduplicated(ticks: DataFrame) -> DataFrame:
-    """First tick of each symbol and event time, remembered for the length of the watermark."""
+    """First tick of each symbol and event time, remembered for the length of the watermark.
+
+    The watermark's delay must be as long as ticks can come late: a tick behind it is
+    dropped, and counted in the query's ``numRowsDroppedByWatermark``.
+    """
     return ticks.dropDuplicatesWithinWatermark(["symbol", "event_time"])
 
 
+# The two parts of the bronze table: as the stream wrote it, and closed days brought together.
+LIVE, DAYS = "live", "days"
+DELIVERY = ("source_id", "batch_id")
+BUCKETS = 16
+
+
 def bronze_writer(
-    path: str, partition_by: Sequence[str] = ("event_date",)
+    path: str, partition_by: Sequence[str] = ("event_date",), source_id: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that stamps a micro-batch and stores it under its batch id.
+    """``foreachBatch`` function that stamps a micro-batch and stores it under its source and batch id.
 
-    A batch replayed after a failure overwrites its own partitions, so every
-    message is stored once.
+    A batch replayed after a failure overwrites its own partitions, so every message is
+    stored once. Batch ids start anew with every checkpoint; ``source_id`` keeps those of
+    different streams apart. By default it is the query's id, which its checkpoint holds.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        stamped = (
-            batch.drop("timestamp")
-            .withColumn("ingestion_time", F.current_timestamp())
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        )
-        (
-            stamped.sortWithinPartitions(*partition_by, "symbol", "event_time")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", *partition_by).parquet(path)
-        )
+        source = source_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not source:
+            raise ValueError("a batch outside a streaming query needs a source_id")
+        stamped = batch.drop("timestamp").withColumns({
+            "ingestion_time": F.current_timestamp(),
+            "source_id": F.lit(source),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+        })
+        replace_partitions(stamped, f"{path}/{LIVE}", [*DELIVERY, *partition_by])
 
     return write
 
 
+def _part(spark: SparkSession, path: str, part: str) -> DataFrame | None:
+    found = f"{path}/{part}"
+    if not table_exists(spark, found):
+        return None
+    df = spark.read.parquet(found).drop("bucket")
+    return df.withColumns({"source_id": F.col("source_id").cast("string"), "event_date": F.col("event_date").cast("date")})
+
+
+def _fresh(live: DataFrame, days: DataFrame | None) -> DataFrame:
+    """The live rows of deliveries that are not among the compacted days yet.
+
+    Both can hold a delivery only after a compaction broke off before it had removed
+    what it had stored. Only days that occur in both parts are looked at.
+    """
+    if days is None:
+        return live
+    same_day = live.select("event_date").distinct()
+    stored = days.join(same_day, "event_date", "left_semi").select(*DELIVERY, "event_date").distinct()
+    return live.join(stored, [*DELIVERY, "event_date"], "left_anti")
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """The bronze ticks: the compacted days and what the stream has written since."""
+    live, days = _part(spark, path, LIVE), _part(spark, path, DAYS)
+    if live is None:
+        return days
+    fresh = _fresh(live, days)
+    return fresh if days is None else days.unionByName(fresh, allowMissingColumns=True)
+
+
+def compact_days(spark: SparkSession, path: str, before: dt.date, buckets: int = BUCKETS) -> None:
+    """Bring the live rows of days before ``before`` together by day and symbol bucket.
+
+    The days are stored with what they held already, then the live partitions are removed.
+    If this breaks off in between, readers and the next run pass over what is stored twice.
+    """
+    live, days = _part(spark, path, LIVE), _part(spark, path, DAYS)
+    if live is None:
+        return
+    closed = live.filter(F.col("event_date") < F.lit(before))
+    done = closed.select(*DELIVERY, "event_date").distinct().collect()  # a row per stored folder
+    if not done:
+        return
+    rows = _fresh(closed, days)
+    if days is not None:
+        touched = closed.select("event_date").distinct()
+        rows = rows.unionByName(days.join(touched, "event_date", "left_semi"), allowMissingColumns=True)
+    bucket = F.pmod(F.hash("symbol"), F.lit(buckets)).alias("bucket")
+    replace_partitions(written(rows.select("*", bucket), "days"), f"{path}/{DAYS}", ["event_date", "bucket"])
+    for r in done:
+        remove(spark, f"{path}/{LIVE}/source_id={r.source_id}/batch_id={r.batch_id}/event_date={r.event_date}")
+
+
 def bronze_stream(
     messages: DataFrame,
     path: str,
@@ -60,10 +126,11 @@ def bronze_stream(
     *,
     partition_by: Sequence[str] = ("event_date",),
     interval: str | None = TRIGGER_INTERVAL,
+    source_id: str | None = None,
 ) -> DataStreamWriter:
     """The tick pipeline, ready to ``start()``; without ``interval`` it stops at the end of the input."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        tick_stream(messages).writeStream.foreachBatch(bronze_writer(path, partition_by))
+        tick_stream(messages).writeStream.foreachBatch(bronze_writer(path, partition_by, source_id))
         .outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger)
     )
