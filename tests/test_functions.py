@@ -18,6 +18,11 @@ def test_ties_round_away_from_zero(spark, value, digits, expected):
     assert got == expected and str(got) == str(expected)
 
 
+def test_rounding_leaves_what_has_no_digits(spark):
+    for value in (1e15, -1e15, 9.3e18, 1e300, 123456789012345.678):
+        assert one(spark, n.round_half_up(F.lit(value), 4)) == pytest.approx(value, rel=1e-15)
+
+
 def test_rounding_keeps_null(spark):
     assert one(spark, n.round_half_up(F.lit(None).cast("double"), 2)) is None
 

@@ -7,7 +7,7 @@ from helpers import DAY, bars, plan_of, same_rows, symbols
 from tickloom import schemas
 from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.upsert import newer_than, recompute_touched, replace_window, upsert
-from tickloom.plans import decision, features, gold, silver
+from tickloom.plans import decision, features, gold, readside, silver
 from tickloom.sources import bars as bar_source, seeds
 
 
@@ -280,12 +280,69 @@ def test_pending_window_and_recorded(spark):
         "symbol string, date date, signal string, combined_cf double, signal_score int, "
         "sector string, close double",
     )
-    recorded = spark.createDataFrame([("A", str(days[40]))], "symbol string, signal_date string")
+    # an outcome without its 20-day price is open still
+    recorded = spark.createDataFrame(
+        [("A", str(days[40]), 1.0), ("A", str(days[41]), None)],
+        "symbol string, signal_date string, close_20d double")
     today = F.lit(days[50])
     due = sorted(r.date for r in decision.pending_signals(signals, recorded, today).collect())
     assert due == [d for d in days[20:46] if d != days[40]]
 
 
+def test_outcome_starts_from_the_price_of_the_day(spark):
+    prices = bars(spark, [50, 50, 50, 50, 50, 55])
+    signals = pending(spark, "BUY").withColumn("close_at_signal", F.lit(None).cast("double"))
+    r = decision.case_outcomes(signals, prices).first()
+    assert (r.close_at_signal, r.return_5d, r.outcome) == (50, 0.1, "WIN")
+    assert (r.known_5d, r.known_20d) == (DAY + dt.timedelta(days=5), None)
+    assert decision.case_outcomes(signals, bars(spark, [1] * 9, skip=(0,))).isEmpty()
+
+
+def test_prices_in_play(spark):
+    prices = bars(spark, range(100, 140)).unionByName(bars(spark, range(100, 140), symbol="B"))
+    asked = pending(spark, "BUY").withColumn("date", F.lit(DAY + dt.timedelta(days=3)))
+    near = decision.prices_in_play(asked, prices)
+    assert {r.symbol for r in near.collect()} == {"A"}
+    assert {r.date for r in near.collect()} == {DAY + dt.timedelta(days=k) for k in range(3, 28)}
+    plain, few = (decision.case_outcomes(asked, p).collect() for p in (prices, near))
+    assert plain == few and len(few) == 1
+    assert decision.prices_in_play(asked.limit(0), prices).isEmpty()
+
+
+def test_lookup_does_not_show_a_return_before_its_price(spark):
+    """A case judged on day 5; its 20-day return is known on day 20, not before."""
+    days = [DAY + dt.timedelta(days=k) for k in range(30)]
+    signals = spark.createDataFrame(
+        [("A", d, "BUY", 4, 0.2, 50.0, -0.1, 0.6) for d in days],
+        "symbol string, date date, signal string, signal_score int, annualized_vol double, rsi14 double, "
+        "pct_from_high double, sector_advance_ratio double")
+    library = spark.createDataFrame(
+        [("A", DAY, "BUY", 4, "WIN", 0.1, 0.5, days[5], days[20])],
+        "symbol string, signal_date date, signal string, signal_score int, outcome string, return_5d double, "
+        "return_20d double, known_5d date, known_20d date")
+    got = {r.date: r for r in decision.cbr_lookup(signals, library).collect()}
+    assert [d for d in days if got[d].similar_cases_count] == days[5:]
+    assert [d for d in days if got[d].cbr_avg_return_20d] == days[20:]
+    assert got[days[10]].cbr_avg_return_5d == 0.1 and got[days[10]].cbr_avg_return_20d == 0
+
+
+@pytest.mark.parametrize("unknown", [{"signal_score": None}, {"rating": None}])
+def test_a_gate_that_cannot_be_judged_stops_a_buy(spark, unknown):
+    name = next(iter(unknown))
+    kind = "int" if name == "signal_score" else "string"
+    clean = inputs_row(spark)
+    assert decision.explain_signals(clean).first().signal == "BUY"
+    r = decision.explain_signals(clean.withColumn(name, F.lit(None).cast(kind))).first()
+    assert r.signal == "HOLD" and r.why_not_buy == "BUY not triggered"
+
+
+def test_sells_near_the_high_are_found(spark):
+    rows = inputs_row(spark, rating="Strong Sell", signal_score=-6, at_52w_high=True).unionByName(
+        inputs_row(spark, symbol="B", rating="Strong Sell", signal_score=-6))
+    found = readside.sells_near_high(decision.explain_signals(rows)).collect()
+    assert [r.symbol for r in found] == [rows.first().symbol]
+
+
 # --- incremental -------------------------------------------------------------------------
 
 

@@ -50,13 +50,16 @@ def test_known_totals_use_only_the_past(spark):
     got = {
         (tuple(r[k] for k in ["g", *LABELS]), r.day): (r.n, r.v)
         for r in similar_totals_known(
-            probes, cases.withColumn("from", F.col("day")), group=["g"], labels=LABELS, at="day",
-            known_from="from", measures={"n": F.lit(1).cast("bigint"), "v": F.col("v")},
+            probes.dropDuplicates(["g", *LABELS, "day"]),
+            cases.withColumns({"from": F.col("day"), "later": F.when(F.col("v") % 3 != 0, F.date_add("day", 4))}),
+            group=["g"], labels=LABELS, at="day",
+            measures={"from": {"n": F.lit(1).cast("bigint")}, "later": {"v": F.col("v")}},
         ).collect()
     }
     for probe in probe_rows:
         hits = [c for c in case_rows if alike(probe, c) and c[6] <= probe[6]]
-        assert got[(tuple(probe[:6]), probe[6])] == (len(hits), sum(c[7] for c in hits))
+        late = [c for c in hits if c[7] % 3 and c[6] + dt.timedelta(days=4) <= probe[6]]
+        assert got[(tuple(probe[:6]), probe[6])] == (len(hits), sum(c[7] for c in late))
 
 
 def test_subset_weights_count_each_case_once():

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from tickloom import schemas
 from tickloom.session import scratch_path, shared_dir, written
 from tickloom.sources import tables
 from tickloom.sources.ticks import decode_ticks
-from tickloom.streaming.ticks import bronze_stream, bronze_writer, deduplicated, tick_stream
+from tickloom.streaming.ticks import (
+    bronze_stream, bronze_writer, compact_days, deduplicated, read_bronze, tick_stream,
+)
 
 
 @pytest.fixture()
@@ -107,20 +110,58 @@ def test_stream_continues_where_it_stopped(spark, path, tmp_path):
     (source / "2.txt").write_text(message("B") + "\n")
     run_stream(spark, str(source), path, f"{path}-state")
     run_stream(spark, str(source), path, f"{path}-state")
-    stored = spark.read.parquet(path)
+    stored = read_bronze(spark, path)
     assert sorted(r.symbol for r in stored.collect()) == ["A", "B"]
     assert "ingestion_time" in stored.columns and "timestamp" not in stored.columns
 
 
 def test_replayed_batch_is_stored_once(spark, path):
     batch = decode_ticks(spark.createDataFrame([(message(s).encode(),) for s in "AB"], "value binary"))
-    write = bronze_writer(path, partition_by=("symbol", "event_date"))
+    write = bronze_writer(path, partition_by=("symbol", "event_date"), source_id="one")
     write(batch, 7)
     write(batch, 7)
     write(batch.limit(0), 8)
-    assert spark.read.parquet(path).count() == 2
+    assert read_bronze(spark, path).count() == 2
     write(batch, 9)
-    assert spark.read.parquet(path).count() == 4
+    assert read_bronze(spark, path).count() == 4
+    with pytest.raises(ValueError, match="source_id"):
+        bronze_writer(path)(batch, 1)
+
+
+def test_a_new_checkpoint_overwrites_nothing(spark, path, tmp_path):
+    """Batch ids start at 0 again; both streams write to one path and one day."""
+    for k, names in enumerate(("AB", "CDE")):
+        source = tmp_path / f"in{k}"
+        source.mkdir()
+        (source / "1.txt").write_text("\n".join(message(s) for s in names) + "\n")
+        for _ in range(2):
+            run_stream(spark, str(source), path, f"{path}-state{k}")
+    stored = read_bronze(spark, path)
+    assert sorted(r.symbol for r in stored.collect()) == list("ABCDE")
+    assert stored.select("source_id").distinct().count() == 2
+
+
+def test_closed_days_are_brought_together(spark, path):
+    rows = [message(s, time=f"2024-01-0{d}T10:00:00.000000Z") for s in "ABC" for d in (1, 2, 3)]
+    batch = decode_ticks(spark.createDataFrame([(r.encode(),) for r in rows], "value binary"))
+    write = bronze_writer(path, source_id="s")
+    write(batch, 0)
+    write(batch.filter("symbol = 'A'"), 1)
+    before = read_bronze(spark, path)
+    want = written(before, "before")
+    for _ in range(2):
+        compact_days(spark, path, dt.date(2024, 1, 3), buckets=2)
+        assert same_rows(read_bronze(spark, path).select(want.columns), want)
+    days = spark.read.parquet(f"{path}/days")
+    assert {str(r[0]) for r in days.select("event_date").distinct().collect()} == {"2024-01-01", "2024-01-02"}
+    live = spark.read.parquet(f"{path}/live")
+    assert {str(r[0]) for r in live.select("event_date").distinct().collect()} == {"2024-01-03"}
+    # a late tick of a closed day, and a delivery whose removal had failed: stored in both parts
+    write(batch.filter("symbol = 'B' AND event_date = '2024-01-01'"), 2)
+    write(batch.filter("event_date = '2024-01-02'"), 0)
+    assert read_bronze(spark, path).count() == want.count() + 1
+    compact_days(spark, path, dt.date(2024, 1, 3))
+    assert read_bronze(spark, path).count() == want.count() + 1
 
 
 def test_stream_dedup(spark, tmp_path, path):
@@ -134,3 +175,23 @@ def test_stream_dedup(spark, tmp_path, path):
     )
     query.awaitTermination()
     assert sorted(r.symbol for r in spark.read.parquet(path).collect()) == ["A", "B"]
+
+
+@pytest.mark.parametrize(("delay", "kept", "dropped"), [("10 seconds", 3, 2), ("2 days", 5, 0)])
+def test_lateness_decides_what_a_stream_dedup_keeps(spark, tmp_path, path, delay, kept, dropped):
+    """One file per micro-batch; the last two ticks are an hour or more behind."""
+    source = tmp_path / "in"
+    source.mkdir()
+    times = ["10:00:00", "10:00:00", "11:00:00", "12:00:00", "10:30:00", "09:00:00"]
+    for k, t in enumerate(times):
+        (source / f"{k}.txt").write_text(message("A", time=f"2024-01-01T{t}.000000Z") + "\n")
+        os.utime(source / f"{k}.txt", (1_700_000_000 + k, 1_700_000_000 + k))
+    messages = spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))
+    query = (
+        deduplicated(tick_stream(messages, delay)).writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(path).count() == kept
+    lost = sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in json.loads(p.json)["stateOperators"])
+    assert lost == dropped

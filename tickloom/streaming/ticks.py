@@ -70,7 +70,7 @@ def _part(spark: SparkSession, path: str, part: str) -> DataFrame | None:
     found = f"{path}/{part}"
     if not table_exists(spark, found):
         return None
-    df = spark.read.parquet(found).drop("bucket")
+    df = spark.read.parquet(found)
     return df.withColumns({"source_id": F.col("source_id").cast("string"), "event_date": F.col("event_date").cast("date")})
 
 
@@ -113,8 +113,14 @@ def compact_days(spark: SparkSession, path: str, before: dt.date, buckets: int =
     if days is not None:
         touched = closed.select("event_date").distinct()
         rows = rows.unionByName(days.join(touched, "event_date", "left_semi"), allowMissingColumns=True)
-    bucket = F.pmod(F.hash("symbol"), F.lit(buckets)).alias("bucket")
-    replace_partitions(written(rows.select("*", bucket), "days"), f"{path}/{DAYS}", ["event_date", "bucket"])
+    # a file per day and bucket of symbols; the day is the partition, so it is replaced whole
+    bucket = F.pmod(F.hash("symbol"), F.lit(buckets))
+    (
+        written(rows, "days").repartition("event_date", bucket)
+        .sortWithinPartitions("event_date", "symbol", "event_time")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date").parquet(f"{path}/{DAYS}")
+    )
     for r in done:
         remove(spark, f"{path}/{LIVE}/source_id={r.source_id}/batch_id={r.batch_id}/event_date={r.event_date}")
 
