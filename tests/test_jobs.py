@@ -1,9 +1,13 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import same_rows
+from helpers import plan_of, same_rows
 from tickloom import jobs
+from tickloom.plans import silver
 from tickloom.session import scratch_path, written
+from tickloom.sources import tables
 
 TABLES = [
     "silver_ohlcv", "gold_volatility_index", "gold_52w_levels", "gold_technical_rating",
@@ -40,9 +44,18 @@ def test_refresh_equals_build(spark, inputs, bronze):
     for name in TABLES:
         assert same_rows(grown.read(name), full.read(name)), name
 
-    today = F.lit("1997-12-20").cast("date")
+    # day by day, the short way: ends as one run over the whole history
+    today = dt.date(1997, 12, 20)
+    jobs.record_outcomes(grown, dt.date(1997, 11, 1), oldest=None)
+    for day in (dt.date(1997, 11, 20), dt.date(1997, 12, 8), today):
+        jobs.record_outcomes(grown, day)
     for _ in range(2):
         jobs.record_outcomes(full, today, oldest=None)
+    assert same_rows(grown.read("decision_case_outcomes"), full.read("decision_case_outcomes"))
+    assert same_rows(grown.read("decision_cbr_lookup"), full.read("decision_cbr_lookup"))
+    assert same_rows(grown.read("decision_validation"), full.read("decision_validation"))
+    assert "recorded_at" in full.read("decision_case_outcomes", stamps=True).columns
+    assert "detected_at" in full.read("gold_anomaly_flags", stamps=True).columns
     outcomes = full.read("decision_case_outcomes")
     assert outcomes.count() > 100
     assert outcomes.groupBy("symbol", "signal_date").count().filter("count > 1").isEmpty()
@@ -52,3 +65,43 @@ def test_refresh_equals_build(spark, inputs, bronze):
     jobs.score_outliers(full, "1997-01-01")
     kinds = {r[0] for r in full.read("gold_batch_anomalies").select("anomaly_type").distinct().collect()}
     assert kinds == {"isolation_forest", "volume_zscore", "price_iqr"}
+
+
+def test_reads_are_pruned_to_months(spark, bronze):
+    house = jobs.Warehouse(spark, scratch_path(spark, "pruned"))
+    house.replace("bars", bronze[0])
+    plan = plan_of(house.read("bars", dt.date(1997, 3, 5), dt.date(1997, 4, 1)))
+    assert "PartitionFilters: [isnotnull(month" in plan and "month#" in plan
+    got = house.read("bars", dt.date(1997, 3, 5), dt.date(1997, 4, 1)).select(F.trunc("date", "month")).distinct().collect()
+    assert {str(r[0]) for r in got} == {"1997-03-01", "1997-04-01"}
+
+
+def test_ticks_refresh_equals_build(spark, inputs):
+    """A second delivery with new days and late ticks of an old one; the serving copy gets the sessions."""
+    cut = F.lit("2024-01-20").cast("date")
+    late = (F.col("event_date") == "2024-01-05") & (F.hash("event_time") % 3 == 0)
+    new = late | (F.col("event_date") >= cut)
+    ticks = written(inputs.ticks.withColumn(
+        "ingestion_time", F.when(new, F.col("ingestion_time") + F.expr("interval 100 days")).otherwise(F.col("ingestion_time"))), "ticks")
+    full, grown = (jobs.Warehouse(spark, scratch_path(spark, n)) for n in ("full-ticks", "grown-ticks"))
+    jobs.build_ticks(full, ticks, inputs.tick_symbols)
+    jobs.build_ticks(grown, ticks.filter(~new), inputs.tick_symbols)
+    assert not same_rows(grown.read("gold_intraday_vwap"), full.read("gold_intraday_vwap"))
+    for _ in range(2):
+        jobs.refresh_ticks(grown, ticks)
+    for name in ("silver_ticks", "gold_intraday_vwap"):
+        assert same_rows(grown.read(name), full.read(name)), name
+    counts = tables.publish_all(spark, full.folder, full.path("serving"), only=["gold_intraday_vwap"])
+    assert counts["gold_intraday_vwap"] == full.read("gold_intraday_vwap").count() > 0
+
+
+def test_wide_bars_reach_bronze(spark):
+    wide = spark.createDataFrame(
+        [("2024-01-01", 1.0, 2.0, 0.5, 1.5, 10, None), ("2024-01-02", 2.0, 3.0, 1.5, 2.5, None, None)],
+        "Date string, A_Open double, A_High double, A_Low double, A_Close double, A_Volume long, B_Open double")
+    house = jobs.Warehouse(spark, scratch_path(spark, "bars"))
+    jobs.ingest_bars(house, wide, spark.createDataFrame([("A",)], "symbol string"))
+    jobs.ingest_bars(house, wide.filter("Date = '2024-01-02'").withColumn("A_Close", F.lit(9.0)), ["A"])
+    got = house.read("bronze_daily_ohlcv").orderBy("date").collect()
+    assert [(r.symbol, r.date, r.close, r.volume) for r in got] == [("A", "2024-01-01", 1.5, 10), ("A", "2024-01-02", 9.0, 0)]
+    assert silver.silver_ohlcv(house.read("bronze_daily_ohlcv")).count() == 1

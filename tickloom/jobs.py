@@ -1,4 +1,4 @@
-"""The batch jobs: build the tables, bring them up to date, record outcomes, score outliers.
+"""The batch jobs: ingest bars, build the tables, bring them up to date, record outcomes, score outliers.
 
 Dated tables are partitioned by month. An update rewrites only the months it
 changes and replaces rows by key, so a job that is repeated changes nothing.
@@ -6,23 +6,39 @@ changes and replaces rows by key, so a job that is repeated changes nothing.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom import schemas
+from tickloom.operators.asof import value_range
 from tickloom.operators.upsert import recompute_touched, touched_since, upsert
 from tickloom.plans import decision, detectors, gold, silver
 from tickloom.session import written
 from tickloom.sources import tables
+from tickloom.sources.bars import bars_from_wide
 
 DAY = ("symbol", "date")
 
 
+# When a row was written, by table.
+STAMPS = {
+    "gold_anomaly_flags": "detected_at", "gold_batch_anomalies": "detected_at",
+    "decision_case_outcomes": "recorded_at",
+}
+STAMP_NAMES = {*STAMPS.values(), "updated_at"}
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """The tables under one folder."""
+    """The tables under one folder.
+
+    A month is replaced by deleting its files and moving the new ones in place, which
+    a crash can interrupt; the job that was interrupted has to be run again, from the
+    bronze tables, which no job rewrites.
+    """
 
     spark: SparkSession
     folder: str
@@ -33,31 +49,62 @@ class Warehouse:
     def exists(self, name: str) -> bool:
         return tables.table_exists(self.spark, self.path(name))
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name)).drop("month")
+    def read(
+        self, name: str, since: dt.date | None = None, until: dt.date | None = None, stamps: bool = False
+    ) -> DataFrame:
+        """A table, or its months from ``since`` to ``until``; only their partitions are opened."""
+        df = self.spark.read.parquet(self.path(name))
+        if "month" in df.columns:
+            df = tables.in_months(df, since, until).drop("month")
+        return df if stamps else df.drop(*STAMP_NAMES)
 
     def replace(self, name: str, df: DataFrame, date: str | None = "date") -> None:
+        df = stamped(name, df)
         if date is None:
             tables.bulk_load(df, self.path(name))
         else:
-            tables.bulk_load(_by_month(df, date), self.path(name), ["month"])
+            tables.bulk_load(tables.by_month(df, date), self.path(name), ["month"])
 
     def merge(self, name: str, rows: DataFrame, keys: Sequence[str], date: str = "date") -> DataFrame:
         """Upsert into the months the rows fall into; returns the stored rows."""
-        fresh = written(_by_month(rows, date), name)
+        fresh = written(tables.by_month(stamped(name, rows), date), name)
         if self.exists(name):
+            first, last = fresh.agg(F.min("month"), F.max("month")).first()
+            if first is None:
+                return fresh.drop("month", *STAMP_NAMES)
             months = fresh.select("month").distinct()
-            old = self.spark.read.parquet(self.path(name)).join(months, "month", "left_semi")
-            fresh_months = upsert(old, fresh, keys)
+            stored = self.spark.read.parquet(self.path(name)).filter(F.col("month").between(first, last))
+            fresh_months = upsert(stored.join(months, "month", "left_semi"), fresh, keys)
         else:
             fresh_months = fresh
         tables.replace_partitions(fresh_months, self.path(name), ["month"])
-        return fresh.drop("month")
+        return fresh.drop("month", *STAMP_NAMES)
+
+    def with_history(self, name: str, first: dt.date, rows: int, days: int) -> DataFrame:
+        """The rows from ``first`` on, and at least the ``rows`` before it of every symbol that has as many.
+
+        ``days`` are enough for nearly every symbol; of those that need more, and only
+        of those, the older months are read as well.
+        """
+        since = first - dt.timedelta(days=days)
+        near = self.read(name, since)
+        earlier = near.filter(F.col("date") < F.lit(first)).groupBy("symbol").count()
+        short = near.select("symbol").distinct().join(
+            earlier.filter(F.col("count") >= rows), "symbol", "left_anti")
+        if short.isEmpty():
+            return near
+        before = since.replace(day=1) - dt.timedelta(days=1)
+        return near.unionByName(self.read(name, until=before).join(short, "symbol", "left_semi"))
 
 
-def _by_month(df: DataFrame, date: str) -> DataFrame:
-    # text that does not read as a number or date keeps its type when it is listed back
-    return df.withColumn("month", F.date_format(date, "'m'yyyyMM"))
+def stamped(name: str, df: DataFrame) -> DataFrame:
+    return df.withColumn(STAMPS.get(name, "updated_at"), F.current_timestamp())
+
+
+def bounds(df: DataFrame, date: str = "date") -> tuple[dt.date, dt.date] | None:
+    """The first and the last date, None if there is no row."""
+    first, last = df.agg(F.min(date).cast("date"), F.max(date).cast("date")).first()
+    return (first, last) if first else None
 
 
 @dataclass(frozen=True)
@@ -92,23 +139,63 @@ def build_tables(house: Warehouse, bars: DataFrame, symbols: DataFrame, rules: D
     house.replace("decision_signals", _signals(house))
 
 
+def ingest_bars(house: Warehouse, wide: DataFrame, symbols: Sequence[str] | DataFrame) -> None:
+    """Wide bars, a column per symbol and field, into bronze; days delivered again are replaced."""
+    if isinstance(symbols, DataFrame):
+        symbols = [r.symbol for r in symbols.select("symbol").distinct().orderBy("symbol").collect()]
+    bars = bars_from_wide(wide, symbols).withColumn("ingestion_time", F.current_timestamp())
+    house.merge("bronze_daily_ohlcv", bars, DAY)
+
+
+def build_ticks(house: Warehouse, ticks: DataFrame, symbols: DataFrame) -> None:
+    """The tables of the ticks from bronze, from nothing."""
+    house.replace("tick_symbols", symbols, date=None)
+    house.replace("silver_ticks", silver.silver_ticks(ticks), "event_date")
+    house.replace("gold_intraday_vwap", gold.intraday_vwap(house.read("silver_ticks"), symbols), "session_date")
+
+
+def refresh_ticks(house: Warehouse, ticks: DataFrame) -> None:
+    """Take in the bronze ticks that arrived since the last run, late ones included.
+
+    What a tick can change is its symbol's day. Those days are computed anew from all
+    their ticks, so the tables end as a full build would leave them.
+    """
+    arrived = touched_since(ticks, "ingestion_time", house.read("silver_ticks"))
+    days = written(arrived.select("symbol", "event_date").distinct(), "tick-days")
+    span = bounds(days, "event_date")
+    if span is None:
+        return
+    inside = F.col("event_date").between(F.lit(span[0]), F.lit(span[1]))
+    again = ticks.filter(inside).join(days, ["symbol", "event_date"], "left_semi")
+    house.merge("silver_ticks", silver.silver_ticks(again), ("symbol", "event_time"), "event_date")
+    sessions = house.read("silver_ticks", *span).join(days, ["symbol", "event_date"], "left_semi")
+    vwap = gold.intraday_vwap(sessions, house.read("tick_symbols"))
+    house.merge("gold_intraday_vwap", vwap, ("symbol", "session_date"), "session_date")
+
+
 def refresh_tables(house: Warehouse, bars: DataFrame) -> None:
     """Take in the bronze bars that arrived since the last run, late ones included.
 
-    Ends with the tables a full build over the same bars would give.
+    Ends with the tables a full build over the same bars would give. Reads the months
+    from the first touched day on, and what the models look back on before it.
     """
     symbols, rules = house.read("silver_symbols"), house.read("knowledge_rules")
     arrived = touched_since(bars, "ingestion_time", house.read("silver_ohlcv"))
     touched = house.merge("silver_ohlcv", silver.silver_ohlcv(arrived), DAY).select(*DAY)
-    clean = house.read("silver_ohlcv")
+    span = bounds(touched)
+    if span is None:
+        return
+    first = span[0]
 
     changed = {}
     for model in SERIES_MODELS:
+        clean = house.with_history("silver_ohlcv", first, model.lookback, calendar_days(model.lookback))
         rows = recompute_touched(
             lambda b, m=model: m.build(b, symbols), clean, touched, lookback=model.lookback
         )
         changed[model.name] = house.merge(model.name, rows, DAY)
-    volatility = house.read("gold_volatility_index")
+    volatility = house.with_history(
+        "gold_volatility_index", first, gold.FENCE_ROWS, calendar_days(gold.FENCE_ROWS))
     flags = recompute_touched(gold.anomaly_flags, volatility, touched, lookback=gold.FENCE_ROWS)
     house.merge("gold_anomaly_flags", flags, (*DAY, "anomaly_type"))
     house.merge("decision_cf_engine",
@@ -116,41 +203,85 @@ def refresh_tables(house: Warehouse, bars: DataFrame) -> None:
 
     # what spans symbols changes on every date on which some symbol has changed
     dates = written(changed["gold_volatility_index"].select("date").distinct(), "dates")
+    span = bounds(dates)
+    if span is None:
+        return
+    clean = house.with_history("silver_ohlcv", span[0], 1, calendar_days(1))
     returns = on(dates, gold.daily_return(clean, symbols))
     house.merge("gold_sector_performance", gold.sector_performance(returns), ("sector", "date"))
-    metarules = decision.metarule_flags(on(dates, house.read("gold_anomaly_flags")), volatility)
+    volatility = house.with_history(
+        "gold_volatility_index", span[0], decision.DOWN_ROWS, calendar_days(decision.DOWN_ROWS))
+    metarules = decision.metarule_flags(on(dates, house.read("gold_anomaly_flags", *span)), volatility)
     house.merge("decision_metarule_flags", on(dates, metarules), DAY)
-    house.merge("decision_signals", _signals(house, dates), DAY)
+    house.merge("decision_signals", _signals(house, dates, span), DAY)
+
+
+def calendar_days(rows: int) -> int:
+    """Days that hold so many trading days of a symbol that is traded regularly."""
+    return 2 * rows + 31
 
 
 def on(dates: DataFrame | None, df: DataFrame) -> DataFrame:
     return df if dates is None else df.join(dates, "date", "left_semi")
 
 
-def _signals(house: Warehouse, dates: DataFrame | None = None) -> DataFrame:
+def _signals(
+    house: Warehouse, dates: DataFrame | None = None, span: tuple[dt.date, dt.date] = (None, None)
+) -> DataFrame:
     names = (
         "gold_technical_rating", "gold_52w_levels", "gold_volatility_index", "gold_anomaly_flags",
         "gold_sector_performance", "decision_cf_engine", "decision_metarule_flags",
     )
-    return decision.decision_signals(*[on(dates, house.read(name)) for name in names])
+    return decision.decision_signals(*[on(dates, house.read(name, *span)) for name in names])
+
 
+def record_outcomes(house: Warehouse, today: dt.date, oldest: int | None = decision.OLDEST_PENDING_DAYS) -> None:
+    """Add the outcomes that have become known, then bring lookup and validation up to date.
 
-def record_outcomes(house: Warehouse, today: Column, oldest: int | None = decision.OLDEST_PENDING_DAYS) -> None:
-    """Add the outcomes that have become known, then renew lookup and validation."""
-    signals = house.read("decision_signals")
+    Signals and prices are read from the months in play only. A new outcome counts for
+    the signals from the day on which it is known, so only those and the signals not
+    looked up yet are looked up.
+    """
+    since = None if oldest is None else today - dt.timedelta(days=oldest)
+    signals = house.read("decision_signals", since, today)
     recorded = tables.read_if_present(
         house.spark, house.path("decision_case_outcomes"), schemas.CASE_OUTCOMES
     )
-    pending = decision.pending_signals(signals, recorded, today, oldest=oldest)
-    outcomes = decision.case_outcomes(pending, house.read("silver_ohlcv"))
-    house.merge("decision_case_outcomes", outcomes, ("symbol", "signal_date"), date="signal_date")
-    library = house.read("decision_case_outcomes")
-    house.replace("decision_cbr_lookup", decision.cbr_lookup(signals, library))
+    pending = written(decision.pending_signals(signals, recorded, F.lit(today), oldest=oldest), "pending")
+    span = value_range(pending, decision.LAST_DAY_AHEAD)
+    added = None
+    if span:
+        prices = decision.prices_in_play(pending, house.read("silver_ohlcv", *span))
+        outcomes = decision.case_outcomes(pending, prices)
+        added = house.merge("decision_case_outcomes", outcomes, ("symbol", "signal_date"), date="signal_date")
+    if not house.exists("decision_case_outcomes"):
+        return
+    library, signals = house.read("decision_case_outcomes"), house.read("decision_signals")
+    if not house.exists("decision_cbr_lookup"):
+        house.replace("decision_cbr_lookup", decision.cbr_lookup(signals, library))
+    else:
+        from_day = _first_changed(house, signals, added)
+        if from_day is not None:
+            asked = signals.filter(F.col("date") >= F.lit(from_day))
+            house.merge("decision_cbr_lookup", decision.cbr_lookup(asked, library, features=signals), DAY)
     house.replace("decision_validation", decision.validation(library, signals), date=None)
 
 
+def _first_changed(house: Warehouse, signals: DataFrame, added: DataFrame | None) -> dt.date | None:
+    """The first day on which a signal's lookup may differ from the stored one."""
+    last = house.read("decision_cbr_lookup").agg(F.max("date")).first()[0]
+    unseen = signals.filter(F.col("date") > F.lit(last)).agg(F.min("date")).first()[0]
+    # an outcome that was open before counts anew from its first day
+    known = added.agg(F.min("known_5d")).first()[0] if added is not None else None
+    return min((d for d in (unseen, known) if d is not None), default=None)
+
+
 def score_outliers(house: Warehouse, start: str) -> None:
     """One half-yearly run of the batch detectors, kept apart from the stored flags."""
-    features = written(detectors.run_features(house.read("gold_volatility_index"), start), "run")
+    first = dt.date.fromisoformat(start)
+    since = first - dt.timedelta(days=31 * detectors.LOOKBACK_MONTHS)
+    until = first + dt.timedelta(days=31 * detectors.RUN_MONTHS)
+    volatility = house.read("gold_volatility_index", since, until)
+    features = written(detectors.run_features(volatility, start), "run")
     verdicts = detectors.detect_all(features)
     house.merge("gold_batch_anomalies", verdicts, (*DAY, "anomaly_type"))

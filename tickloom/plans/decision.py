@@ -501,17 +501,20 @@ def _measures() -> dict[str, dict[str, Column]]:
     return {"known_5d": judged, "known_20d": later}
 
 
-def cbr_lookup(signals: DataFrame, outcomes: DataFrame, known_only: bool = True) -> DataFrame:
+def cbr_lookup(
+    signals: DataFrame, outcomes: DataFrame, known_only: bool = True, features: DataFrame | None = None
+) -> DataFrame:
     """For each signal what happened after similar ones of the same symbol.
 
     Similar means at least three of the five bins agree. By default a case counts
     from the day of its 5-day price on, and its 20-day return from the day of that
     price, so nothing is taken from the future; ``known_only=False`` compares with
-    the whole library.
+    the whole library. ``features`` are the signals that the cases were, by default
+    ``signals``.
     """
     c = F.col
     current = feature_bins(signals)
-    cases = judged_cases(signals, outcomes)
+    cases = judged_cases(signals if features is None else features, outcomes)
     if known_only:
         totals = similar_totals_known(
             current, cases, group=["symbol"], labels=BINS, measures=_measures(), at="date"
