@@ -147,3 +147,28 @@ def test_quality_reports(spark):
     for now, status in [("2024-01-01 10:00:00", "pass"), ("2024-01-02 10:00:00", "warn"), ("2024-01-04", "error")]:
         assert quality.freshness(stamped, "t", now, 24, 48).first().status == status
     assert quality.freshness(stamped.limit(0), "t", "2024-01-01", 24).first().status == "error"
+
+
+def test_forest_agrees_with_a_plain_recursive_one():
+    """Own random numbers on both sides, so the scores agree up to the noise of so many trees."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(150, 2)) * [1, 5]
+    x[:3] += 12
+    trees, sample = 400, 64
+
+    def depth(point, rows, level):
+        if level == 6 or len(rows) <= 1 or (rows == rows[0]).all():
+            return level + float(expected_depth(np.array([len(rows)]))[0])
+        f = rng.choice([k for k in range(2) if rows[:, k].min() < rows[:, k].max()])
+        cut = rng.uniform(rows[:, f].min(), rows[:, f].max())
+        side = rows[:, f] > cut
+        return depth(point, rows[side if point[f] > cut else ~side], level + 1)
+
+    some = [0, 1, 2, 50, 80, 120]
+    plain = [
+        2 ** (-np.mean([depth(x[k], x[rng.permutation(150)[:sample]], 0) for _ in range(trees)])
+              / float(expected_depth(np.array([sample]))[0]))
+        for k in some
+    ]
+    got = isolation_scores(x, [1, 2], trees=trees, sample=sample)[some]
+    assert np.abs(got - plain).max() < 0.03

@@ -85,14 +85,22 @@ def isolation_forest(features: DataFrame) -> DataFrame:
     """Isolation scores, scaled to [0, 1] per group, flagged above the group's 95th percentile.
 
     The forest compares each feature only with cuts drawn between its own
-    extremes, so scaling the features first would not change the outcome.
+    extremes, so scaling the features first would not change the outcome. Runs in
+    which a symbol has no row to judge grow no forest for it.
     """
-    whole = Window.partitionBy(*GROUP)
+    wanted = features.filter("is_scored").select(*GROUP).distinct()
     scored = with_isolation_score(
-        features.select(*GROUP, "date", "is_scored", *FOREST_FEATURES),
+        features.select(*GROUP, "date", "is_scored", *FOREST_FEATURES).join(wanted, GROUP, "left_semi"),
         group=GROUP, order="date", features=FOREST_FEATURES, min_rows=MIN_ROWS,
         trees=TREES, sample=TREE_SAMPLE, seed=SEED,
-    ).withColumns({
+    )
+    return forest_verdicts(scored)
+
+
+def forest_verdicts(isolated: DataFrame) -> DataFrame:
+    """Verdicts from the column ``isolation``: scaled to [0, 1], flagged above the cut of each group."""
+    whole = Window.partitionBy(*GROUP)
+    scored = isolated.withColumns({
         "low": F.min("isolation").over(whole),
         "high": F.max("isolation").over(whole),
         "cut": F.percentile("isolation", F.lit(1.0 - CONTAMINATION)).over(whole),

@@ -521,6 +521,34 @@ def zscore_scale(i: Inputs) -> DataFrame:
     return detectors.zscore_scale(detectors.ml_features(i.volatility))
 
 
+_group = "OVER (PARTITION BY window_start, symbol)"
+
+
+@query(f"""
+SELECT symbol, date, 'isolation_forest' AS anomaly_type, {rnd('relative', 4)} AS score, 0.05{LIT} AS threshold,
+       isolation > cut AS is_anomaly
+FROM (SELECT *, CASE WHEN high > low THEN (isolation - low) / (high - low) ELSE 0.0{LIT} END AS relative
+      FROM (SELECT *, min(isolation) {_group} AS low, max(isolation) {_group} AS high,
+                   quantile_cont(isolation, 0.95) {_group} AS cut
+            FROM (SELECT *, abs(log_return) AS isolation FROM run_rows)))
+WHERE is_scored""")
+def forest_verdicts(i: Inputs) -> DataFrame:
+    """What becomes of isolation scores, on scores that both engines know: the size of the move."""
+    runs = detectors.ml_features(i.volatility)
+    return detectors.forest_verdicts(runs.withColumn("isolation", F.abs("log_return")))
+
+
+@query("""
+SELECT symbol, date, FALSE AS by_forest, bool_or(anomaly_type = 'volume_zscore' AND is_anomaly) AS by_volume,
+       bool_or(anomaly_type = 'price_iqr' AND is_anomaly) AS by_price, FALSE AS all_agree
+FROM (SELECT * FROM run_volume UNION ALL SELECT * FROM run_price) GROUP BY symbol, date""")
+def agreement_of_two(i: Inputs) -> DataFrame:
+    """The agreement over the two detectors that SQL can express."""
+    runs = written(detectors.ml_features(i.volatility), "runs")
+    both = detectors.batch_volume_zscore(runs).unionByName(detectors.batch_price_iqr(runs))
+    return detectors.triple_agreement(both)
+
+
 @query()
 def isolation_forest(i: Inputs) -> DataFrame:
     return detectors.isolation_forest(detectors.ml_features(i.volatility))
