@@ -39,7 +39,7 @@ MASK_TURN, MASK_PLUS = 15, 0xA282EAD8
 
 MANIFEST = "shard int, path string, records long, tokens long, bytes long"
 RECORDS = "shard int, record long, doc_id long, ids binary"
-TOKEN_SLICE = 12 << 20
+TOKEN_SLICE = 4 << 20
 READ_BYTES = 4 << 20
 
 

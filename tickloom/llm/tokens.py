@@ -32,7 +32,7 @@ _SIGN_NO_QUOTE = r"!-&(-/:-@\[-`{-~"
 # One piece that the tokenizer's normalisation leaves as it is.
 _ONE_PIECE = re.compile(rf"[a-zß-öø-ÿ]+|[{_SIGN_NO_QUOTE}]+")
 # A worker forgets its words when it holds so many; this bounds memory, not what is encoded.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 250_000
 _JOINED = 40
 
 
