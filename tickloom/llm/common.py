@@ -42,6 +42,11 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1) if path.startswith("s3a:") else path)
 
 
+def below(key: Column, share: Column | float) -> Column:
+    """Whether a 64-bit hash lies in the lowest ``share`` of all values: a sample that only the rows decide."""
+    return key.cast("double") / 2.0**64 + 0.5 < share
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

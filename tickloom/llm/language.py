@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from tickloom.llm.common import col, fresh
+from tickloom.llm.common import below, col, fresh
 
 UNKNOWN = "und"
 SPAN, TRAIN_SPAN, CELLS = 128, 64, 8
@@ -179,19 +179,26 @@ def fit(
 ) -> Model | None:
     """A model for the languages of ``docs``, learned from the rows with a language and a letter in the text.
 
-    The sample is bounded whatever the input: of each language the ``texts`` texts with the smallest hashes of id
+    The sample is bounded whatever the input: of each language up to ``texts`` texts with the smallest hashes of id
     and text, of each text its beginning and ``windows`` - 1 windows at places given by a hash. So a language's share
-    of the rows plays no part, a hot source neither, and equal input gives an equal model. None where no
-    row can be learned from.
+    of the rows plays no part, a hot source neither, and equal input gives an equal model. Languages are counted
+    first; of each only the share of hashes that holds twice the sample leaves the scan. None where no row can be
+    learned from.
     """
-    text = col(docs, text_col)
+    text, lang = col(docs, text_col), col(docs, lang_col).cast("string")
+    # one row per language; the labels are the classes of the model
+    counts = {r.lang: r.n for r in docs.groupBy(lang.alias("lang")).agg(F.count("*").alias("n")).collect() if r.lang is not None}
+    if not counts:
+        return None
     key = F.xxhash64(F.lit(seed), col(docs, id_col), text)
-    usable = docs.select(col(docs, lang_col).cast("string").alias("lang"), text.alias("text"), key.alias("key")).filter(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    first = usable.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("key", "text"))).filter(F.col("n") <= texts)
+    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2.0 * texts / n) + 1e-9)])
+    few = docs.select(lang.alias("lang"), text.alias("text"), key.alias("key")).filter(
+        F.col("lang").isNotNull() & below(F.col("key"), F.element_at(shares, F.col("lang"))) & F.col("text").rlike(r"\p{L}"))
     place = lambda k: F.lit(1) if k == 0 else (
         F.pmod(F.xxhash64("key", F.lit(k)), F.greatest(F.lit(1), F.char_length("text") - span)) + 1).cast("int")
-    rows = first.select("lang", "key", F.array(*[F.substr("text", place(k), F.lit(span)) for k in range(windows)]).alias("w"))
+    # only the windows are moved, not the texts
+    cut = few.select("lang", "key", F.array(*[F.substr("text", place(k), F.lit(span)) for k in range(windows)]).alias("w"))
+    rows = cut.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("key", "w"))).filter(F.col("n") <= texts)
     found = sorted((r.lang, r.key, k, w) for r in rows.collect() for k, w in enumerate(r.w))
     if not found:
         return None
