@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickloom.llm.common import col
+from tickloom.llm.common import below, col
 
 # The kinds, in the order that ties are listed, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -368,16 +368,22 @@ def train(
 
 
 def fit(docs: DataFrame, text_col: str = "text", texts: int = SAMPLE_TEXTS, around: int = 400, seed: int = 0) -> Tagger | None:
-    """A tagger learned from a bounded sample: ``texts`` texts with a digit or an ``@``, by the smallest hashes.
+    """A tagger learned from a bounded sample: ``texts`` texts with four digits or an ``@``, by the smallest hashes.
 
-    Of each, ``around`` characters before and after the first such character are used, whose spans by the patterns are
-    the labels. The same input gives the same tagger. None where there is nothing to learn from.
+    Of each, ``around`` characters before and after the first such place are used, whose spans by the patterns are
+    the labels. Such texts are counted first, and only the share of hashes that holds four times the sample leaves
+    the scan. The same input gives the same tagger. None where there is nothing to learn from.
     """
-    text = col(docs, text_col)
-    rows = docs.select(text.alias("text")).filter(F.col("text").rlike("[0-9]{4}|@")).distinct()
-    first = F.regexp_instr("text", F.lit("[0-9]{4}|@")).cast("int")
+    mark = F.lit("[0-9]{4}|@")
+    rows = docs.select(col(docs, text_col).alias("text")).filter(F.col("text").rlike("[0-9]{4}|@"))
+    count = rows.count()
+    if not count:
+        return None
+    first = F.regexp_instr("text", mark).cast("int")
     part = F.substr("text", F.greatest(F.lit(1), first - around), F.lit(2 * around))
-    sample = rows.select(part.alias("part"), F.xxhash64(F.lit(seed), "text").alias("key")).orderBy("key", "part").limit(texts)
+    parts = rows.select(part.alias("part")).withColumn("key", F.xxhash64(F.lit(seed), "part"))
+    few = parts.filter(below(F.col("key"), min(1.0, 4.0 * texts / count) + 1e-9))
+    sample = few.distinct().orderBy("key", "part").limit(texts)
     found = [r.part for r in sample.collect()]
     return train([(t, base_spans(t)) for t in found]) if found else None
 
