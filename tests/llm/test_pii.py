@@ -1,4 +1,6 @@
 import random
+import re
+import time
 from itertools import product
 
 import numpy as np
@@ -24,6 +26,21 @@ def test_patterns():
     assert spans("0010.0000.1.2")[0][0] == "ip"
 
 
+def test_patterns_are_the_plain_ones_and_linear():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a1.@-_% 2") for _ in range(rng.randint(0, 40)))
+        assert list(pii._addresses(text)) == [m.span() for m in email.finditer(text)], text
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in ip.finditer(text)], text
+    started = time.perf_counter()
+    for text in ("a" * 1_000_000 + "@", "a@" * 500_000, " @b.c" * 200_000, "1" * 1_000_000 + ".", "1.1 " * 250_000,
+                 "+1" + "-" * 1_000_000, "+1-" * 300_000):
+        assert pii.base_spans(text) == [], text[:10]
+    assert time.perf_counter() - started < 30
+
+
 def tiny(cells=2, seed=0, kind=np.float64):
     rng = np.random.default_rng(seed)
     f = lambda *s: rng.normal(0, 0.6, s).astype(kind)

@@ -26,8 +26,10 @@ from tickloom.llm.common import below, col
 
 # The kinds, in the order that ties are listed, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+NAME = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+HOST = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# a match never begins inside digits, and saying so keeps long runs of digits from being walked from each one
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (12, 19), (9, 15)
@@ -77,6 +79,17 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """The leftmost addresses of mail, not overlapping: names are read backwards from their ``@``, so each once."""
+    low = 0
+    for m in HOST.finditer(text):
+        before = text[low : m.start()]
+        name = len(before) - len(before.rstrip(NAME))
+        if name:
+            yield m.start() - name, m.end()
+        low = m.end() if name else m.start() + 1
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """The spans of the patterns: start, place of the kind, end; by start, then kind.
 
@@ -85,7 +98,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """
     found = []
     if "@" in text:
-        found += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        found += [(s, 0, e) for s, e in _addresses(text)]
     if "." in text:
         for m in IP.finditer(text):
             if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
