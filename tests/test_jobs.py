@@ -58,6 +58,9 @@ def test_refresh_equals_build(spark, inputs, bronze):
     assert "detected_at" in full.read("gold_anomaly_flags", stamps=True).columns
     outcomes = full.read("decision_case_outcomes")
     assert outcomes.count() > 100
+    report = jobs.check_tables(full)
+    assert report.filter("status <> 'pass'").collect() == []
+    assert {r.table_name for r in report.select("table_name").collect()} >= {*TABLES, "decision_case_outcomes"}
     assert outcomes.groupBy("symbol", "signal_date").count().filter("count > 1").isEmpty()
     assert full.read("decision_cbr_lookup").count() == full.read("decision_signals").count()
     assert full.read("decision_validation").agg(F.sum("total_signals")).first()[0] == outcomes.count()
@@ -105,3 +108,26 @@ def test_wide_bars_reach_bronze(spark):
     got = house.read("bronze_daily_ohlcv").orderBy("date").collect()
     assert [(r.symbol, r.date, r.close, r.volume) for r in got] == [("A", "2024-01-01", 1.5, 10), ("A", "2024-01-02", 9.0, 0)]
     assert silver.silver_ohlcv(house.read("bronze_daily_ohlcv")).count() == 1
+
+
+def test_checks_tell_what_is_wrong(spark):
+    house = jobs.Warehouse(spark, scratch_path(spark, "checked"))
+    kinds = "symbol string, date date, high_52w double, low_52w double"
+    day = dt.date(2024, 1, 31)
+    rows = [("A", day, 1.0, 1.0), ("A", day, 2.0, None), ("B", day, 1.0, 1.0), (None, dt.date(2023, 1, 1), 1.0, 1.0)]
+    house.replace("gold_52w_levels", spark.createDataFrame(rows, kinds))
+    bars = spark.createDataFrame(
+        [("A", day, 1.0, 1.0, 1.0, 1.0, 5, dt.datetime(2024, 1, 31, 12))],
+        "symbol string, date date, open double, high double, low double, close double, volume long, ingestion_time timestamp")
+    house.replace("silver_ohlcv", bars)
+
+    def wrong(**options):
+        return {(r.table_name, r.test, r.subject): r.failures
+                for r in jobs.check_tables(house, **options).filter("status <> 'pass'").collect()}
+
+    found = {("gold_52w_levels", "not_null", "low_52w"): 1, ("gold_52w_levels", "unique", "symbol,date"): 2}
+    assert wrong(since=day, now=dt.datetime(2024, 2, 1, 12)) == found
+    assert wrong(now=dt.datetime(2024, 2, 1, 14)) == found | {
+        ("gold_52w_levels", "not_null", "symbol"): 1, ("silver_ohlcv", "freshness", "ingestion_time"): 1}
+    stored = spark.read.parquet(house.path("quality_reports"))
+    assert stored.select("checked_at").distinct().count() == 2

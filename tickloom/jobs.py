@@ -1,4 +1,4 @@
-"""The batch jobs: ingest bars, build the tables, bring them up to date, record outcomes, score outliers.
+"""The batch jobs: ingest bars, build the tables, bring them up to date, check them, record outcomes, score outliers.
 
 Dated tables are partitioned by month. An update rewrites only the months it
 changes and replaces rows by key, so a job that is repeated changes nothing.
@@ -9,13 +9,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom import schemas
 from tickloom.operators.asof import value_range
 from tickloom.operators.upsert import recompute_touched, touched_since, upsert
-from tickloom.plans import decision, detectors, gold, silver
+from tickloom.plans import checks, decision, detectors, gold, silver
 from tickloom.session import written
 from tickloom.sources import tables
 from tickloom.sources.bars import bars_from_wide
@@ -276,6 +277,23 @@ def _first_changed(house: Warehouse, signals: DataFrame, added: DataFrame | None
     return min((d for d in (unseen, known) if d is not None), default=None)
 
 
+def check_tables(
+    house: Warehouse, since: dt.date | None = None, now: dt.datetime | None = None
+) -> DataFrame:
+    """Check every table that is there, add the report to ``quality_reports`` and return it.
+
+    ``since`` restricts the checks to the months from that day on, as after a refresh. Nothing fails by
+    itself: whoever runs the job decides by the report's ``status``. Ages are told against ``now``.
+    """
+    reports = [
+        checks.table_report(name, house.read(name, since), contract, now and now.isoformat(" "))
+        for name, contract in checks.CONTRACTS.items() if house.exists(name)
+    ]
+    report = written(reduce(DataFrame.union, reports).withColumn("checked_at", F.current_timestamp()), "report")
+    tables.append(report, house.path("quality_reports"))
+    return report
+
+
 def score_outliers(house: Warehouse, start: str) -> None:
     """One half-yearly run of the batch detectors, kept apart from the stored flags."""
     first = dt.date.fromisoformat(start)

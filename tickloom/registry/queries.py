@@ -12,7 +12,7 @@ from tickloom.functions import dates, labels, numeric as n, text
 from tickloom.operators import quality, upsert as up
 from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.series import with_series
-from tickloom.plans import decision, detectors, gold, readside, silver
+from tickloom.plans import checks, decision, detectors, gold, readside, silver
 from tickloom.registry.inputs import Inputs
 from tickloom.registry.oracle import LIT, VOTES, fixed, frame, pct, rnd, statement
 from tickloom.session import scratch_path, written
@@ -27,7 +27,6 @@ CHECK_TIME = "2024-01-31 12:00:00"
 TRACED_SYMBOL = "NATION_1"
 # The events cover some thirty days and their files have no order, so a tick may come that late.
 DEDUP_LATENESS = "31 days"
-STATUSES = ["live", "simulated", "pre-market", "post-market"]
 
 
 @dataclass(frozen=True)
@@ -662,7 +661,7 @@ def dq_unique(i: Inputs) -> DataFrame:
 SELECT 'session_status' AS column_name, session_status AS value, count(*) AS failures FROM ticks
 WHERE session_status NOT IN ('live', 'simulated', 'pre-market', 'post-market') GROUP BY session_status""")
 def dq_accepted_values(i: Inputs) -> DataFrame:
-    return quality.accepted_values(i.ticks, "session_status", STATUSES)
+    return quality.accepted_values(i.ticks, "session_status", checks.STATUSES)
 
 
 @query(f"""
@@ -672,6 +671,41 @@ def dq_freshness(i: Inputs) -> DataFrame:
     return quality.freshness(i.ticks, "ingestion_time", CHECK_TIME, warn_hours=24, error_hours=48)
 
 
+def _contract_sql(name: str, source: str) -> str:
+    """The tests of a contract, one statement each."""
+    contract = checks.CONTRACTS[name]
+    keys = ", ".join(contract.key)
+    tests = [
+        ("not_null", c, f"SELECT count(*) FILTER ({c} IS NULL) AS failures FROM {source}")
+        for c in (*contract.key, *contract.required)
+    ] + [
+        ("unique", ",".join(contract.key),
+         f"SELECT coalesce(sum(n), 0) AS failures FROM (SELECT count(*) AS n FROM {source} GROUP BY {keys}) WHERE n > 1")
+    ] + [
+        ("accepted_values", c, f"SELECT count(*) FILTER ({c} NOT IN {values}) AS failures FROM {source}")
+        for c, values in contract.accepted.items()
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{test}' AS test, '{subject}' AS subject, CAST(failures AS BIGINT) AS failures, "
+        f"CASE WHEN failures > 0 THEN 'error' ELSE 'pass' END AS status FROM ({counted})"
+        for test, subject, counted in tests
+    )
+
+
+@query(" UNION ALL ".join(
+    _contract_sql(name, source) for name, source in
+    (("silver_ohlcv", "bars"), ("silver_ticks", "ticks"), ("decision_signals", "signals"))
+))
+def dq_contracts(i: Inputs) -> DataFrame:
+    """The tests of three tables; bars and ticks as they arrive, so that some fail."""
+    reports = [
+        checks.table_report("silver_ohlcv", i.bars, checks.CONTRACTS["silver_ohlcv"]),
+        checks.table_report("silver_ticks", i.ticks, checks.CONTRACTS["silver_ticks"]),
+        checks.table_report("decision_signals", i.stored_signals, checks.CONTRACTS["decision_signals"]),
+    ]
+    return reports[0].union(reports[1]).union(reports[2])
+
+
 _states = """
 SELECT signal, lower(replace(rating, ' ', '_')) AS rating_category, has_price_anomaly AS anomaly,
        coalesce(sector_advance_ratio, 0.5) >= 0.5 AS advance, signal_score < 0 AS negative,
