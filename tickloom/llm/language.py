@@ -173,23 +173,22 @@ def train(
     return model
 
 
-def fit(
+def sample(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     texts: int = SAMPLE_TEXTS, windows: int = SAMPLE_WINDOWS, span: int = TRAIN_SPAN, seed: int = 0,
-) -> Model | None:
-    """A model for the languages of ``docs``, learned from the rows with a language and a letter in the text.
+) -> list[tuple[str, int, int, str]]:
+    """Language, key of the text, number and text of windows of the rows with a language and a letter in the text.
 
     The sample is bounded whatever the input: of each language up to ``texts`` texts with the smallest hashes of id
     and text, of each text its beginning and ``windows`` - 1 windows at places given by a hash. So a language's share
     of the rows plays no part, a hot source neither, and equal input gives an equal model. Languages are counted
-    first; of each only the share of hashes that holds twice the sample leaves the scan. None where no row can be
-    learned from.
+    first; of each only the share of hashes that holds twice the sample leaves the scan.
     """
     text, lang = col(docs, text_col), col(docs, lang_col).cast("string")
     # one row per language; the labels are the classes of the model
     counts = {r.lang: r.n for r in docs.groupBy(lang.alias("lang")).agg(F.count("*").alias("n")).collect() if r.lang is not None}
     if not counts:
-        return None
+        return []
     key = F.xxhash64(F.lit(seed), col(docs, id_col), text)
     shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2.0 * texts / n) + 1e-9)])
     few = docs.select(lang.alias("lang"), text.alias("text"), key.alias("key")).filter(
@@ -199,10 +198,19 @@ def fit(
     # only the windows are moved, not the texts
     cut = few.select("lang", "key", F.array(*[F.substr("text", place(k), F.lit(span)) for k in range(windows)]).alias("w"))
     rows = cut.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("key", "w"))).filter(F.col("n") <= texts)
-    found = sorted((r.lang, r.key, k, w) for r in rows.collect() for k, w in enumerate(r.w))
-    if not found:
-        return None
-    return train([w.encode() for *_, w in found], [lang for lang, *_ in found])
+    return sorted((r.lang, r.key, k, w) for r in rows.collect() for k, w in enumerate(r.w))
+
+
+def fit(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    texts: int = SAMPLE_TEXTS, windows: int = SAMPLE_WINDOWS, span: int = TRAIN_SPAN, seed: int = 0,
+) -> Model | None:
+    """A model for the languages of ``docs``, learned from their :func:`sample`; None where it is empty."""
+    return fit_sample(sample(docs, id_col, text_col, lang_col, texts, windows, span, seed))
+
+
+def fit_sample(found: list[tuple[str, int, int, str]]) -> Model | None:
+    return train([w.encode() for *_, w in found], [lang for lang, *_ in found]) if found else None
 
 
 def with_language(docs: DataFrame, model: Model | None, into: str = "language", text_col: str = "text") -> DataFrame:
