@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # The space and the controls from tab to carriage return: what separates words.
 SPACES = r"\x20\x09-\x0D"
@@ -51,6 +51,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_arrow(
+    df: DataFrame, column: str, added: list[str], make: Callable[[pa.Array], list[pa.Array]], most: int = SLICE_BYTES,
+) -> DataFrame:
+    """``df`` with the columns ``added`` (name and type), made from one column in slices of about ``most`` bytes.
+
+    ``make`` gets a slice of the column, nulls included, and returns the new columns. Columns go by their
+    place, so their names may be any.
+    """
+    at = df.columns.index(column)
+    schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(added)).fields])
+    names = [str(k) for k in range(len(schema))]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at, most):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch.column(at))], names=names)
+
+    # the columns are matched by name, so they get plain ones on the way
+    told = df.mapInArrow(run, T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(names, schema)]))
+    return told.toDF(*schema.names)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose text column holds about ``most`` bytes; a longer text is alone."""
     import numpy as np
