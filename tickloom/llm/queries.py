@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import chat, language, licenses, mixing, packing, pii, quality, records, simhash, vectors
+from tickloom.llm import (
+    bpe, chat, language, licenses, mixing, packing, pii, quality, records, search, simhash, vectors, whitening,
+)
 from tickloom.llm.tokens import public_tokenizer
 from tickloom.session import scratch_path, written
 
@@ -260,3 +262,68 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix takes."""
     mixed = mixing.with_mix(table(spark, folder, "documents").select("doc_id", "text", "source"), "mix", **MIX)
     return mixed.select("doc_id", "mix.*")
+
+
+# --- 11: byte-level BPE ----------------------------------------------------------------------
+
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+
+
+@query()
+def op11_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids of every document and of the text that they decode to."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    lexicon = bpe.build_lexicon(docs, public_tokenizer(BYTE_TOKENIZER))
+    coded = bpe.encode(docs, lexicon, decoded="decoded")
+    return coded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+# --- 12: ranked search -----------------------------------------------------------------------
+
+BEST = 20
+
+
+def _sql_terms(source: str, key: str) -> str:
+    """Rows of key and term, in DuckDB's terms."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    parts = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"""SELECT rid, {key}, unnest(regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{parts}')) AS term
+  FROM (SELECT row_number() OVER () AS rid, * FROM {source})"""
+
+
+@query(f"""
+WITH doc_terms AS ({_sql_terms("documents", "doc_id")}
+), tfs AS (
+  SELECT rid, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM doc_terms GROUP BY rid, term
+), sizes AS (
+  SELECT rid, sum(tf)::BIGINT AS n FROM tfs GROUP BY rid
+), whole AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM sizes
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs, whole GROUP BY term
+), wanted AS (
+  SELECT rid AS item, any_value(item_id) AS item_id, term, count(*) AS times FROM ({_sql_terms("benchmark", "item_id")}) GROUP BY rid, term
+), scored AS (
+  SELECT item, any_value(item_id) AS item_id, t.rid, any_value(t.doc_id) AS doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len))))::BIGINT AS score
+  FROM wanted JOIN tfs t USING (term) JOIN weights USING (term) JOIN sizes s ON s.rid = t.rid, whole
+  GROUP BY item, t.rid
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= {BEST}""")
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), BEST)
+
+
+# --- 13: whitening ---------------------------------------------------------------------------
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector along the components of all distinct ones."""
+    return whitening.whitened(table(spark, folder, "embeddings"))
