@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.common import SLICE_BYTES, col, file_system, slices, with_arrow
-from tickloom.session import scratch_path
+from tickloom.session import scratch_path, written
 
 # The lexicon's bounds: how many words, and the bytes of a word. Other words are merged when they occur.
 LEXICON_WORDS, WORD_BYTES = 60_000, 48
@@ -504,10 +504,14 @@ def lexicon_at(path: str) -> Lexicon:
         for name, (kind, count, at) in head.items()})
 
 
-def frequent_words(docs: DataFrame, classes: np.ndarray, most: int = LEXICON_WORDS, text_col: str = "text") -> list[bytes]:
-    """The ``most`` words that occur most often in all texts, of at most ``WORD_BYTES`` bytes; ties by bytes.
+def frequent_words(
+    docs: DataFrame, classes: np.ndarray, most: int = LEXICON_WORDS, text_col: str = "text",
+) -> list[bytes]:
+    """The words that occur most often in all texts, of at most ``WORD_BYTES`` bytes; up to ``most`` of them.
 
-    Words are counted in slices, so a word that fills a third of all texts is one row of a slice.
+    Words are counted in slices, so a word that fills a third of all texts is one row of a slice. Counts are put
+    into classes, sixteen for each doubling, and the words of the highest classes that hold no more than ``most`` are
+    taken, so that these words alone reach the driver.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -521,7 +525,17 @@ def frequent_words(docs: DataFrame, classes: np.ndarray, most: int = LEXICON_WOR
 
     texts = docs.select(col(docs, text_col).alias("text")).filter(F.col("text") != "")
     counts = texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    # at most some thousand classes
+    classed = written(counts.select("word", F.floor(16 * F.log2("n")).alias("class")), "word-counts")
+    sizes = sorted(((r["class"], r["count"]) for r in classed.groupBy("class").count().collect()), reverse=True)
+    taken, lowest = 0, None
+    for kind, size in sizes:
+        if taken + size > most:
+            break
+        taken, lowest = taken + size, kind
+    if lowest is None:
+        return []
+    return [bytes(r.word) for r in classed.filter(F.col("class") >= lowest).select("word").collect()]
 
 
 def _short(texts: pa.Array) -> Iterator[pa.Array]:

@@ -61,14 +61,13 @@ def with_arrow(
     """
     at = df.columns.index(column)
     schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(added)).fields])
-    names = [str(k) for k in range(len(schema))]
+    names = [f"c{k}" for k in range(len(schema))]  # whatever the columns are called, dots and repeats included
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at, most):
             yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch.column(at))], names=names)
 
-    # the columns are matched by name, so they get plain ones on the way
-    told = df.mapInArrow(run, T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(names, schema)]))
+    told = df.toDF(*names[: len(df.columns)]).mapInArrow(run, T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(names, schema)]))
     return told.toDF(*schema.names)
 
 
