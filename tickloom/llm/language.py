@@ -128,6 +128,11 @@ class Model:
             np.add.at(sums, owner[some], pooled.astype(np.float64))
         return sums / np.maximum(sizes, 1)[:, None]
 
+    def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The likeliest language of each text and its score."""
+        p = self.probabilities(texts)
+        return np.array(self.languages, object)[p.argmax(axis=1)], np.clip(p.max(axis=1), 0, 1).round(6)
+
 
 def train(
     windows: list[bytes], labels: list[str], span: int = TRAIN_SPAN, cells: int = CELLS, steps: int = 200,
@@ -223,11 +228,10 @@ def with_language(docs: DataFrame, model: Model | None, into: str = "language",
     nothing = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     if model is None:
         return docs.withColumn(into, nothing)
-    names = np.array(model.languages, object)
 
     def predict(texts: pd.Series) -> pd.DataFrame:
-        p = model.probabilities([t.encode("utf-8", "replace") if t else b"" for t in texts])
-        return pd.DataFrame({"lang_pred": names[p.argmax(axis=1)], "score": np.clip(p.max(axis=1), 0, 1).round(6)})
+        names, scores = model.predict([t.encode("utf-8", "replace") if t else b"" for t in texts])
+        return pd.DataFrame({"lang_pred": names, "score": scores})
 
     kind = T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType())
     (raw,) = fresh(docs, "predicted")

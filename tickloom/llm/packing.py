@@ -74,7 +74,7 @@ def pack_sizes(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 
 def pack(
     docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2, piece: int = 512,
-    windows: int = 256, id_col: str = "doc_id", text_col: str = "text",
+    windows: int = 256, id_col: str = "doc_id", text_col: str = "text", forget: bool = False,
 ) -> DataFrame:
     """The pieces of all documents with their place in the sequences: one row per piece.
 
@@ -87,7 +87,8 @@ def pack(
     Result: sequence_id (unique, ascending by partition), offset (gapless from 0 in a sequence), length,
     doc_id, document (unique number of the row), start (tokens of the document before), doc_tokens, ids
     (little-endian unsigned 32-bit). A null or empty text is the end id alone; null and repeated ids are
-    packed like any other; an empty table gives no rows; other columns are not read.
+    packed like any other; an empty table gives no rows; other columns are not read. With ``forget`` a worker drops
+    the words it knows when a partition ends, so that it holds little while other work runs.
     """
     rows = docs.select(col(docs, id_col).cast("long").alias("doc_id"), col(docs, text_col).alias("text"))
 
@@ -108,6 +109,8 @@ def pack(
                     group, held = [], 0
         if group:
             yield _group(group, capacity, piece, sequence)[0]
+        if forget:
+            tool.forget()
 
     return rows.mapInArrow(run, PIECES)
 

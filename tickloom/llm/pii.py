@@ -20,9 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickloom.llm.common import below, col
+from tickloom.llm.common import below, col, fresh, with_arrow
 
 # The kinds, in the order that ties are listed, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -441,11 +442,17 @@ def _redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 def redacted(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> DataFrame:
     """``docs`` with every span in the text replaced by its kind in angle brackets; overlapping spans by the first's.
 
-    Null texts stay null. The columns are those of ``docs``.
+    Null texts stay null, empty ones empty; repeated rows stay; a very long text is a slice of its own; an empty table
+    stays empty. The columns are those of ``docs``.
     """
 
-    def run(texts: pd.Series) -> pd.Series:
-        whole = ["" if t is None else t for t in texts]
-        return pd.Series([None if t is None else _redact(t, s) for t, s in zip(texts, find(whole, tagger))])
+    def run(texts: pa.Array) -> list[pa.Array]:
+        given = texts.to_pylist()
+        found = find([t or "" for t in given], tagger)
+        return [pa.array([None if t is None else _redact(t, s) for t, s in zip(given, found)], pa.string())]
 
-    return docs.withColumn(text_col, F.pandas_udf(run, T.StringType())(col(docs, text_col)))
+    (clean,) = fresh(docs, "redacted")
+    told = with_arrow(docs, text_col, [f"`{clean}` string"], run)
+    place = docs.columns.index(text_col)
+    kept = [told[f"`{c}`"] if k != place else F.col(clean).alias(text_col) for k, c in enumerate(docs.columns)]
+    return told.select(*kept)

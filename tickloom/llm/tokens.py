@@ -64,9 +64,10 @@ class Encoder:
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Hold no words."""
         self.known: dict[str, int] = {}
         self.first = np.zeros(1024, np.int64)
         self.count = np.zeros(1024, np.int64)
@@ -127,7 +128,7 @@ class Encoder:
     def _places(self, names: list[str], lower: bool) -> np.ndarray:
         """Where the ids of each word stand; unknown words are encoded first."""
         if len(self.known) > KEPT_WORDS:
-            self._forget()
+            self.forget()
         if not lower:
             names = [w.lower() if w.isascii() else w for w in names]
         missing = [w for w in dict.fromkeys(names) if w not in self.known]
