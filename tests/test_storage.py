@@ -61,7 +61,7 @@ def test_publish_window_removes_days_that_are_gone(spark, path):
     tables.publish_window(bars(spark, [1] * 10), path, "date", "2024-01-01", 10)
     for _ in range(2):
         tables.publish_window(bars(spark, [2] * 10, skip=(3,)), path, "date", "2024-01-03", 3)
-        got = {r.date.day: r.close for r in spark.read.parquet(path).collect()}
+        got = {r.date.day: r.close for r in tables.read_version(spark, path).collect()}
         assert got == {1: 1, 2: 1, 3: 2, 5: 2, 6: 1, 7: 1, 8: 1, 9: 1, 10: 1}
 
 
@@ -71,7 +71,9 @@ def test_publish_all_skips_absent_tables(spark, path):
     assert counts == {"silver_ohlcv": 2, "gold_52w_levels": None}
     skipped = tables.publish_windows(spark, f"{path}/in", f"{path}/out", "2024-01-01")
     assert "silver_ohlcv" not in skipped and "gold_technical_rating" in skipped
-    assert spark.read.parquet(f"{path}/out/silver_ohlcv").count() == 2
+    assert tables.read_version(spark, f"{path}/out/silver_ohlcv").count() == 2
+    assert tables.publish_all(spark, f"{path}/in", f"{path}/out", only=["silver_ohlcv"], truncate=False) == {"silver_ohlcv": 2}
+    assert tables.read_version(spark, f"{path}/out/silver_ohlcv").count() == 4
 
 
 def test_absent_table_reads_as_empty(spark, path):

@@ -20,6 +20,7 @@ from tickloom.plans import checks, decision, detectors, gold, silver
 from tickloom.session import written
 from tickloom.sources import tables
 from tickloom.sources.bars import bars_from_wide
+from tickloom.sources.versions import VersionedTable, months_between, table_version
 
 DAY = ("symbol", "date")
 
@@ -30,15 +31,21 @@ STAMPS = {
     "decision_case_outcomes": "recorded_at",
 }
 STAMP_NAMES = {*STAMPS.values(), "updated_at"}
+# The tables of the jobs, by month of their date or undivided.
+DATED = (
+    "bronze_daily_ohlcv", "silver_ohlcv", "gold_volatility_index", "gold_52w_levels", "gold_technical_rating",
+    "gold_sector_performance", "gold_anomaly_flags", "gold_batch_anomalies", "decision_cf_engine", "decision_metarule_flags",
+    "decision_signals", "decision_case_outcomes", "decision_cbr_lookup", "silver_ticks", "gold_intraday_vwap",
+)
+WHOLE = ("silver_symbols", "knowledge_rules", "tick_symbols", "decision_validation")
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The tables under one folder.
+    """The tables under one folder, each a log of versions (``sources/versions.py``).
 
-    A month is replaced by deleting its files and moving the new ones in place, which
-    a crash can interrupt; the job that was interrupted has to be run again, from the
-    bronze tables, which no job rewrites.
+    Every write is one commit: a job that breaks off leaves each table as it was before or after it, readers
+    meanwhile see the old state, and the job can be run again.
     """
 
     spark: SparkSession
@@ -47,40 +54,51 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def table(self, name: str) -> VersionedTable:
+        return table_version(self.spark, self.path(name)) or VersionedTable(self.spark, self.path(name))
+
     def exists(self, name: str) -> bool:
-        return tables.table_exists(self.spark, self.path(name))
+        return self.table(name).exists()
 
     def read(
         self, name: str, since: dt.date | None = None, until: dt.date | None = None, stamps: bool = False
     ) -> DataFrame:
-        """A table, or its months from ``since`` to ``until``; only their partitions are opened."""
-        df = self.spark.read.parquet(self.path(name))
+        """A table, or its months from ``since`` to ``until``; only their folders are listed and opened."""
+        table = self.table(name)
+        df = table.read(wanted=months_between(since, until) if table.partition else None)
         if "month" in df.columns:
             df = tables.in_months(df, since, until).drop("month")
         return df if stamps else df.drop(*STAMP_NAMES)
 
-    def replace(self, name: str, df: DataFrame, date: str | None = "date") -> None:
-        df = stamped(name, df)
-        if date is None:
-            tables.bulk_load(df, self.path(name))
-        else:
-            tables.bulk_load(tables.by_month(df, date), self.path(name), ["month"])
+    def note(self, name: str, key: str) -> str | None:
+        """What the last commits have noted about a table."""
+        version = self.table(name).version()
+        return version.notes.get(key) if version else None
+
+    def replace(self, name: str, df: DataFrame, date: str | None = "date", notes: dict[str, str] | None = None) -> None:
+        tables.load_version(stamped(name, df), self.path(name), date, notes)
 
-    def merge(self, name: str, rows: DataFrame, keys: Sequence[str], date: str = "date") -> DataFrame:
-        """Upsert into the months the rows fall into; returns the stored rows."""
+    def merge(
+        self, name: str, rows: DataFrame, keys: Sequence[str], date: str = "date", notes: dict[str, str] | None = None,
+    ) -> DataFrame:
+        """Upsert into the months the rows fall into, in one commit; returns the stored rows."""
         fresh = written(tables.by_month(stamped(name, rows), date), name)
-        if self.exists(name):
-            first, last = fresh.agg(F.min("month"), F.max("month")).first()
-            if first is None:
-                return fresh.drop("month", *STAMP_NAMES)
-            months = fresh.select("month").distinct()
-            stored = self.spark.read.parquet(self.path(name)).filter(F.col("month").between(first, last))
-            fresh_months = upsert(stored.join(months, "month", "left_semi"), fresh, keys)
-        else:
-            fresh_months = fresh
-        tables.replace_partitions(fresh_months, self.path(name), ["month"])
+        table = VersionedTable(self.spark, self.path(name))
+        base = table.version()
+        # one row for each month
+        months = {str(r.month) for r in fresh.select("month").distinct().collect()}
+        if base is not None and not months and not notes:
+            return fresh.drop("month", *STAMP_NAMES)
+        merged = fresh if base is None else upsert(table.read(base.number, months.__contains__), fresh, keys)
+        table.commit(merged, base=base, notes=notes)
         return fresh.drop("month", *STAMP_NAMES)
 
+    def vacuum(self, keep: int = 2) -> None:
+        """Remove older versions of all tables, and what jobs that broke off have left."""
+        for name in sorted({*DATED, *WHOLE}):
+            if self.exists(name):
+                self.table(name).vacuum(keep)
+
     def with_history(self, name: str, first: dt.date, rows: int, days: int) -> DataFrame:
         """The rows from ``first`` on, and at least the ``rows`` before it of every symbol that has as many.
 

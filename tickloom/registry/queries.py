@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom import schemas
 from tickloom.functions import dates, labels, numeric as n, text
+from tickloom.jobs import Warehouse
 from tickloom.operators import quality, upsert as up
 from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.series import with_series
@@ -18,6 +19,7 @@ from tickloom.registry.oracle import LIT, VOTES, fixed, frame, pct, rnd, stateme
 from tickloom.session import scratch_path, written
 from tickloom.sources import bars as bar_source, seeds, tables
 from tickloom.sources.ticks import decode_ticks
+from tickloom.sources.versions import VersionedTable
 from tickloom.streaming.ticks import bronze_stream, compact_days, deduplicated, read_bronze
 
 # Parameters of the queries that take one.
@@ -156,8 +158,9 @@ def session_flag(i: Inputs) -> DataFrame:
 
 
 @query("""
-SELECT symbol, date, anomaly_type, score, threshold, is_anomaly, 'sql' AS detector FROM flags
-WHERE NOT EXISTS (SELECT 1 FROM run_volume r WHERE r.date = flags.date AND r.anomaly_type = flags.anomaly_type)
+SELECT f.symbol, f.date, f.anomaly_type, f.score, f.threshold, f.is_anomaly, 'sql' AS detector FROM flags f
+LEFT JOIN (SELECT DISTINCT date, anomaly_type FROM run_volume) r ON r.date = f.date AND r.anomaly_type = f.anomaly_type
+WHERE r.date IS NULL
 UNION ALL
 SELECT symbol, date, anomaly_type, score, threshold, is_anomaly, 'batch' FROM run_volume""")
 def upsert_keys(i: Inputs) -> DataFrame:
@@ -170,13 +173,15 @@ def upsert_keys(i: Inputs) -> DataFrame:
 
 @query("SELECT * FROM volatility")
 def incremental_upsert(i: Inputs) -> DataFrame:
-    """Volatility up to a cut, then brought up to date; equals the full run."""
+    """Volatility up to a cut, committed, then brought up to date by a second commit; equals the full run."""
     bars = i.stored.silver_bars
+    house = Warehouse(i.spark, scratch_path(i.spark, "incremental"))
     model = lambda b: gold.volatility_index(b, i.symbols)
-    stored = model(bars.filter(F.col("date") <= CUT_DATE))
-    touched = up.newer_than(bars, "date", stored)
+    house.replace("gold_volatility_index", model(bars.filter(F.col("date") <= CUT_DATE)))
+    touched = up.newer_than(bars, "date", house.read("gold_volatility_index"))
     fresh = up.recompute_touched(model, bars, touched, lookback=max(gold.VOLATILITY_FRAMES))
-    return up.upsert(stored, fresh, ["symbol", "date"])
+    house.merge("gold_volatility_index", fresh, ["symbol", "date"])
+    return house.read("gold_volatility_index")
 
 
 @query("""
@@ -188,23 +193,22 @@ def publish_window(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "serving")
     old = i.bars_raw.select("symbol", "date", "close")
     new = i.silver_bars.select("symbol", "date", "close")
-    tables.bulk_load(tables.by_month(old, "date"), path, ["month"])
+    tables.load_version(old, path, "date")
     tables.publish_window(new, path, "date", WINDOW_START, WINDOW_DAYS)
-    return i.spark.read.parquet(path).drop("month")
+    return tables.read_version(i.spark, path)
 
 
 @query("""
 SELECT symbol, date, close FROM silver WHERE date >= DATE '1999-07-01'
 UNION ALL SELECT symbol, date, close FROM bars_raw WHERE date < DATE '1999-07-01'""")
 def write_partition_replace(i: Inputs) -> DataFrame:
-    """A table by month in which the later months are written a second time."""
-    path = scratch_path(i.spark, "partitions")
-    month = F.date_format("date", "'m'yyyyMM").alias("month")
-    old = i.bars_raw.select("symbol", "date", "close", month)
-    new = i.silver_bars.filter(F.col("date") > CUT_DATE).select("symbol", "date", "close", month)
-    tables.replace_partitions(old, path, ["month"])
-    tables.replace_partitions(new, path, ["month"])
-    return i.spark.read.parquet(path).drop("month")
+    """A table by month in which the later months are committed a second time."""
+    table = VersionedTable(i.spark, scratch_path(i.spark, "partitions"))
+    old = i.bars_raw.select("symbol", "date", "close")
+    new = i.silver_bars.filter(F.col("date") > CUT_DATE).select("symbol", "date", "close")
+    table.commit(tables.by_month(old, "date"))
+    table.commit(tables.by_month(new, "date"))
+    return table.read().drop("month")
 
 
 @query("SELECT symbol, date, close FROM silver")
@@ -231,7 +235,7 @@ def publish_full(i: Inputs) -> DataFrame:
     )
     told = i.spark.createDataFrame(list(counts.items()), "table_name string, published bigint")
     copies = [
-        i.spark.read.parquet(f"{base}/out/{name}").withColumn("table_name", F.lit(name))
+        tables.read_version(i.spark, f"{base}/out/{name}").withColumn("table_name", F.lit(name))
         for name in ("silver_ohlcv", "silver_symbols")
     ]
     rows = copies[0].unionByName(copies[1], allowMissingColumns=True)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tickloom.operators.upsert import replace_window, within
-from tickloom.session import written
+from tickloom.sources.versions import VersionedTable, months_between, table_version
 
 
 @dataclass(frozen=True)
@@ -104,26 +104,31 @@ def in_months(df: DataFrame, since: dt.date | None = None, until: dt.date | None
 def publish_window(source: DataFrame, path: str, date: str, start: str, days: int) -> None:
     """Make the serving table's ``[start, start + days)`` equal to the source's.
 
-    The table is partitioned by month. The months of the window are read, their rows
-    of the window exchanged, and the months written again; a month that has become
-    empty is removed, so a repeated run ends in the same state.
+    The table is partitioned by month. The months of the window are read, their rows of the window exchanged, and the
+    months written again in one commit; a month that has become empty is dropped by it. Readers see the
+    table before or after, and a repeated run ends in the same state.
     """
-    spark = source.sparkSession
+    serving = VersionedTable(source.sparkSession, path)
     first = dt.date.fromisoformat(start)
     last = first + dt.timedelta(days=days - 1)
+    wanted = months_between(first, last)
     fresh = by_month(source.drop("month").filter(within(F.col(date), start, days)), date)
-    if table_exists(spark, path):
-        stored = in_months(spark.read.parquet(path), first, last)
+    base = serving.version()
+    if base is not None:
+        stored = serving.read(base.number, wanted)
         fresh = replace_window(stored, fresh, date, start, days)
-    rows = written(fresh, "window")
-    replace_partitions(rows, path, ["month"])
-    filled = {r.month for r in rows.select("month").distinct().collect()}
-    month = first.replace(day=1)
-    while month <= last:
-        number = month.year * 100 + month.month
-        if number not in filled:
-            remove(spark, f"{path}/month={number}")
-        month = (month + dt.timedelta(days=32)).replace(day=1)
+    serving.commit(fresh, base=base, removed=[m for m in (base.parts if base else ()) if wanted(m)])
+
+
+def load_version(df: DataFrame, path: str, date: str | None, notes: dict[str, str] | None = None) -> None:
+    """Replace a table's whole content in one commit, by month of ``date`` or undivided."""
+    rows = df if date is None else by_month(df, date)
+    VersionedTable(df.sparkSession, path, "month" if date else None).commit(rows, whole=True, notes=notes)
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """A table's last version, without its partition column."""
+    return table_version(spark, path).read().drop("month")
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -146,14 +151,16 @@ def publish_all(
         if only is not None and table.name not in only:
             continue
         source, target = f"{source_dir}/{table.name}", f"{serving_dir}/{table.name}"
-        if not table_exists(spark, source):
+        rows = read_any(spark, source)
+        if rows is None:
             counts[table.name] = None
             continue
-        rows, seen = spark.read.parquet(source).drop("month"), Observation()
-        dated = by_month(rows, table.date) if table.date else rows
+        seen = Observation()
         # counted while it is written
-        counted = dated.observe(seen, F.count(F.lit(1)).alias("n"))
-        bulk_load(counted, target, ["month"] if table.date else [], truncate=truncate)
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        if not truncate and (served := table_version(spark, target)) is not None:
+            counted = served.read().drop("month").unionByName(counted, allowMissingColumns=True)
+        load_version(counted, target, table.date)
         counts[table.name] = seen.get["n"]
     return counts
 
@@ -169,14 +176,13 @@ def publish_windows(
     """The window of every dated table, and the dimensions whole; returns what was skipped."""
     skipped = []
     for table in tables:
-        source = f"{source_dir}/{table.name}"
-        if not table_exists(spark, source):
+        df = read_any(spark, f"{source_dir}/{table.name}")
+        if df is None:
             skipped.append(table.name)
             continue
-        df = spark.read.parquet(source)
         target = f"{serving_dir}/{table.name}"
         if table.date is None:
-            bulk_load(df, target)
+            load_version(df, target, None)
         else:
             publish_window(df, target, table.date, start, days)
     return skipped
@@ -193,8 +199,14 @@ def publish_jdbc(
     df.write.mode(mode).option("truncate", truncate).jdbc(url, table, properties=properties)
 
 
+def read_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table's last version, or a plain folder of Parquet files; None where there is neither."""
+    if table_version(spark, path) is not None:
+        return read_version(spark, path)
+    return spark.read.parquet(path).drop("month") if table_exists(spark, path) else None
+
+
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty one with its declared schema."""
-    if table_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    found = read_any(spark, path)
+    return spark.createDataFrame([], schema) if found is None else found
