@@ -20,7 +20,7 @@ HEADLINE = [
     "silver_ohlcv", "silver_ticks", "intraday_vwap", "sector_performance", "volatility_index",
     "levels_52w", "technical_rating", "anomaly_flags", "cf_engine", "metarule_flags",
     "decision_signals", "forward_close", "case_outcomes", "cbr_lookup", "cbr_lookup_known", "validation",
-    "batch_price_iqr", "isolation_forest",
+    "batch_price_iqr", "isolation_forest", "late_bars",
 ]
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import DAY
+from helpers import DAY, bars, same_rows
 from tickloom.operators import quality
 from tickloom.operators.forest import expected_depth, isolation_scores, with_isolation_score
 from tickloom.operators.similarity import similar_totals, similar_totals_known
@@ -172,3 +172,14 @@ def test_forest_agrees_with_a_plain_recursive_one():
     ]
     got = isolation_scores(x, [1, 2], trees=trees, sample=sample)[some]
     assert np.abs(got - plain).max() < 0.03
+
+
+def test_blocks_keep_rows_without_a_key_or_a_date(spark):
+    from tickloom.operators.series import with_series
+
+    none = bars(spark, [5, 6]).withColumn("symbol", F.lit(None).cast("string"))
+    undated = bars(spark, [7], symbol="B").withColumn("date", F.lit(None).cast("date"))
+    df = bars(spark, range(1, 9)).unionByName(none).unionByName(undated)
+    stage = lambda over: {"mean": F.avg("close").over(over(3))}
+    plain = with_series(df, [stage], lookback=2)
+    assert same_rows(with_series(df, [stage], lookback=2, block_rows=3), plain) and plain.count() == 11

@@ -5,13 +5,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import DAY, bars, same_rows
+from helpers import DAY, bars, plan_of, same_rows
 from tickloom import schemas
 from tickloom.session import scratch_path, shared_dir, written
 from tickloom.sources import tables
+from tickloom.sources.deliveries import Deliveries
 from tickloom.sources.ticks import decode_ticks
 from tickloom.streaming.ticks import (
-    bronze_stream, bronze_writer, compact_days, deduplicated, read_bronze, tick_stream,
+    bronze_stream, bronze_writer, compact_days, deduplicated, distinct_writer, dropped_rows, read_bronze, tick_stream,
 )
 
 
@@ -195,5 +196,34 @@ def test_lateness_decides_what_a_stream_dedup_keeps(spark, tmp_path, path, delay
     )
     query.awaitTermination()
     assert spark.read.parquet(path).count() == kept
-    lost = sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in json.loads(p.json)["stateOperators"])
-    assert lost == dropped
+    assert dropped_rows(query.recentProgress) == dropped
+
+
+def test_distinct_writer_finds_repeats_however_late(spark, path):
+    """Batches spread over a year, in no order; NULL times, repeats within and between batches, a replay."""
+    times = [None, *[f"2024-{m:02d}-01T10:00:00.000000Z" for m in range(1, 13)]]
+    rows = [(message(s, time=t) if t else message(s, time="never")).encode() for s in "AB" for t in times]
+    ticks = decode_ticks(spark.createDataFrame([(r,) for r in rows], "value binary"))
+    write = distinct_writer(path, source_id="s")
+    month = F.coalesce(F.month("event_time"), F.lit(0))
+    for k, part in enumerate((month % 3 == 0, month % 2 == 0, month >= 0, month == 1)):
+        for _ in range(2):
+            write(ticks.filter(part).unionByName(ticks.filter(part)), k)
+    stored = spark.read.parquet(path)
+    want = ticks.select("symbol", "event_time").distinct()
+    assert same_rows(stored.select("symbol", "event_time"), want) and stored.count() == len(rows)
+
+
+def test_a_delivery_is_opened_once(spark, path):
+    log = Deliveries(spark, path)
+    assert log.after(0) == (None, 0)
+    for k in range(3):
+        assert log.add(bars(spark, [k] * 3)) == k + 1
+    rows, last = log.after(1)
+    assert last == 3 and sorted(r.close for r in rows.collect()) == [1, 1, 1, 2, 2, 2]
+    assert "delivered" in plan_of(rows).split("PartitionFilters: ")[1].split("]")[0] and len(rows.inputFiles()) == 2
+    assert log.after(3) == (None, 3)
+    log.forget(2)
+    log.table.vacuum(1)
+    assert log.last() == 3 and [r.close for r in log.after(0)[0].collect()] == [2, 2, 2]
+    assert log.add(bars(spark, [9])) == 4

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom import schemas
 from tickloom.operators.asof import value_range
+from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.upsert import recompute_touched, touched_since, upsert
 from tickloom.plans import checks, decision, detectors, gold, silver
 from tickloom.session import written
 from tickloom.sources import tables
 from tickloom.sources.bars import bars_from_wide
+from tickloom.sources.deliveries import DELIVERED, Deliveries
 from tickloom.sources.versions import VersionedTable, months_between, table_version
 
 DAY = ("symbol", "date")
@@ -158,11 +160,39 @@ def build_tables(house: Warehouse, bars: DataFrame, symbols: DataFrame, rules: D
     house.replace("decision_signals", _signals(house))
 
 
+def deliver(house: Warehouse, name: str, rows: DataFrame) -> int:
+    """Add rows to the change log of a bronze table, as the next delivery."""
+    return Deliveries(house.spark, house.path(f"{name}_deliveries")).add(rows)
+
+
+def take_in(
+    house: Warehouse, bronze: str, target: str, clean: Callable[[DataFrame], DataFrame], keys: Sequence[str], date: str,
+) -> DataFrame | None:
+    """Bring the deliveries that ``target`` hasn't seen into it; returns the rows of the keys they touch.
+
+    Only those deliveries are opened, and of the target only the months their rows fall into. Of a key's stored and
+    arrived rows the one ingested last stays, so the order of deliveries plays no part. The mark moves in the same
+    commit. None if nothing has arrived.
+    """
+    mark = int(house.note(target, DELIVERED) or 0)
+    arrived, last = Deliveries(house.spark, house.path(f"{bronze}_deliveries")).after(mark)
+    if arrived is None:
+        return None
+    fresh = written(clean(arrived), "arrived")
+    span = bounds(fresh, date)
+    if house.exists(target) and span is not None:
+        stored = house.read(target, *span).join(fresh.select(*keys).distinct(), list(keys), "left_semi")
+        fresh = latest_per_key(stored.unionByName(fresh), keys, "ingestion_time")
+    return house.merge(target, fresh, keys, date, notes={DELIVERED: str(last)})
+
+
 def ingest_bars(house: Warehouse, wide: DataFrame, symbols: Sequence[str] | DataFrame) -> None:
-    """Wide bars, a column per symbol and field, into bronze; days delivered again are replaced."""
+    """Wide bars, a column per symbol and field, into bronze and its change log; days delivered again are replaced."""
     if isinstance(symbols, DataFrame):
         symbols = [r.symbol for r in symbols.select("symbol").distinct().orderBy("symbol").collect()]
-    bars = bars_from_wide(wide, symbols).withColumn("ingestion_time", F.current_timestamp())
+    bars = written(bars_from_wide(wide, symbols).withColumn("ingestion_time", F.current_timestamp()), "bars")
+    # the log first: if this breaks off, the bars are delivered again and none is missed
+    deliver(house, "bronze_daily_ohlcv", bars)
     house.merge("bronze_daily_ohlcv", bars, DAY)
 
 
@@ -173,12 +203,18 @@ def build_ticks(house: Warehouse, ticks: DataFrame, symbols: DataFrame) -> None:
     house.replace("gold_intraday_vwap", gold.intraday_vwap(house.read("silver_ticks"), symbols), "session_date")
 
 
-def refresh_ticks(house: Warehouse, ticks: DataFrame) -> None:
+def refresh_ticks(house: Warehouse, ticks: DataFrame | None = None) -> None:
     """Take in the bronze ticks that arrived since the last run, late ones included.
 
     What a tick can change is its symbol's day. Those days are computed anew from all
-    their ticks, so the tables end as a full build would leave them.
+    their ticks, so the tables end as a full build would leave them. Without ``ticks`` the deliveries that
+    silver hasn't seen are taken in, and nothing else of bronze is read.
     """
+    if ticks is None:
+        touched = take_in(house, "bronze_ticks", "silver_ticks", silver.silver_ticks, ("symbol", "event_time"), "event_date")
+        if touched is not None:
+            _refresh_sessions(house, written(touched.select("symbol", "event_date").distinct(), "tick-days"))
+        return
     arrived = touched_since(ticks, "ingestion_time", house.read("silver_ticks"))
     days = written(arrived.select("symbol", "event_date").distinct(), "tick-days")
     span = bounds(days, "event_date")
@@ -187,20 +223,34 @@ def refresh_ticks(house: Warehouse, ticks: DataFrame) -> None:
     inside = F.col("event_date").between(F.lit(span[0]), F.lit(span[1]))
     again = ticks.filter(inside).join(days, ["symbol", "event_date"], "left_semi")
     house.merge("silver_ticks", silver.silver_ticks(again), ("symbol", "event_time"), "event_date")
+    _refresh_sessions(house, days)
+
+
+def _refresh_sessions(house: Warehouse, days: DataFrame) -> None:
+    span = bounds(days, "event_date")
+    if span is None:
+        return
     sessions = house.read("silver_ticks", *span).join(days, ["symbol", "event_date"], "left_semi")
     vwap = gold.intraday_vwap(sessions, house.read("tick_symbols"))
     house.merge("gold_intraday_vwap", vwap, ("symbol", "session_date"), "session_date")
 
 
-def refresh_tables(house: Warehouse, bars: DataFrame) -> None:
+def refresh_tables(house: Warehouse, bars: DataFrame | None = None) -> None:
     """Take in the bronze bars that arrived since the last run, late ones included.
 
     Ends with the tables a full build over the same bars would give. Reads the months
-    from the first touched day on, and what the models look back on before it.
+    from the first touched day on, and what the models look back on before it. Without ``bars`` the deliveries that
+    silver hasn't seen are taken in, and nothing else of bronze is read.
     """
     symbols, rules = house.read("silver_symbols"), house.read("knowledge_rules")
-    arrived = touched_since(bars, "ingestion_time", house.read("silver_ohlcv"))
-    touched = house.merge("silver_ohlcv", silver.silver_ohlcv(arrived), DAY).select(*DAY)
+    if bars is None:
+        touched = take_in(house, "bronze_daily_ohlcv", "silver_ohlcv", silver.silver_ohlcv, DAY, "date")
+        if touched is None:
+            return
+    else:
+        arrived = touched_since(bars, "ingestion_time", house.read("silver_ohlcv"))
+        touched = house.merge("silver_ohlcv", silver.silver_ohlcv(arrived), DAY)
+    touched = touched.select(*DAY)
     span = bounds(touched)
     if span is None:
         return

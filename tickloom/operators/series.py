@@ -72,7 +72,10 @@ def _into_blocks(
     )
     within = Window.partitionBy(*keys, "_year").orderBy(order)
     position = F.col("_shift") + F.row_number().over(within) - 1
-    numbered = yearly.join(shifts, [*keys, "_year"]).withColumn("_position", position)
+    # null-safe, so that rows without a key or a date stay
+    of = {k: f"_of_{k}" for k in (*keys, "_year")}
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in of.items()]
+    numbered = yearly.join(shifts.withColumnsRenamed(of), same).drop(*of.values()).withColumn("_position", position)
     home = F.floor(F.col("_position") / block_rows)
     near_end = F.col("_position") % block_rows >= block_rows - lookback
     targets = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))

@@ -88,9 +88,11 @@ def isolation_forest(features: DataFrame) -> DataFrame:
     extremes, so scaling the features first would not change the outcome. Runs in
     which a symbol has no row to judge grow no forest for it.
     """
-    wanted = features.filter("is_scored").select(*GROUP).distinct()
+    # marked in the partitioning that growing needs as well, so the input is read once
+    judged = F.bool_or("is_scored").over(Window.partitionBy(*GROUP))
+    narrow = features.select(*GROUP, "date", "is_scored", *FOREST_FEATURES)
     scored = with_isolation_score(
-        features.select(*GROUP, "date", "is_scored", *FOREST_FEATURES).join(wanted, GROUP, "left_semi"),
+        narrow.withColumn("is_judged", judged).filter("is_judged").drop("is_judged"),
         group=GROUP, order="date", features=FOREST_FEATURES, min_rows=MIN_ROWS,
         trees=TREES, sample=TREE_SAMPLE, seed=SEED,
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tickloom import schemas
+from tickloom import jobs, schemas
 from tickloom.functions import dates, labels, numeric as n, text
 from tickloom.jobs import Warehouse
 from tickloom.operators import quality, upsert as up
@@ -20,15 +20,13 @@ from tickloom.session import scratch_path, written
 from tickloom.sources import bars as bar_source, seeds, tables
 from tickloom.sources.ticks import decode_ticks
 from tickloom.sources.versions import VersionedTable
-from tickloom.streaming.ticks import bronze_stream, compact_days, deduplicated, read_bronze
+from tickloom.streaming.ticks import bronze_stream, compact_days, distinct_writer, read_bronze
 
 # Parameters of the queries that take one.
 CUT_DATE = "1999-06-30"
 WINDOW_START, WINDOW_DAYS = "1998-03-01", 7
 CHECK_TIME = "2024-01-31 12:00:00"
 TRACED_SYMBOL = "NATION_1"
-# The events cover some thirty days and their files have no order, so a tick may come that late.
-DEDUP_LATENESS = "31 days"
 
 
 @dataclass(frozen=True)
@@ -245,16 +243,40 @@ def publish_full(i: Inputs) -> DataFrame:
 
 @query("SELECT DISTINCT symbol, event_time FROM ticks")
 def stream_dedup(i: Inputs) -> DataFrame:
-    """The ticks and their repeats as a stream, each symbol and time kept once."""
+    """The ticks and their repeats as a stream, each symbol and time stored once, however late it comes."""
     path = scratch_path(i.spark, "dedup")
-    streamed = in_batches(i.ticks, "ticks").withWatermark("event_time", DEDUP_LATENESS)
-    kept = deduplicated(streamed).select("symbol", "event_time")
+    streamed = in_batches(i.ticks.select("symbol", "event_time", "event_date"), "ticks")
     (
-        kept.writeStream.format("parquet").option("path", path)
+        streamed.writeStream.foreachBatch(distinct_writer(path))
         .option("checkpointLocation", scratch_path(i.spark, "dedup-state"))
         .trigger(availableNow=True).start().awaitTermination()
     )
-    return plain_times(i.spark.read.schema(kept.schema).parquet(path))
+    return plain_times(i.spark.read.parquet(path).select("symbol", "event_time"))
+
+
+@query("SELECT * FROM silver")
+def late_bars(i: Inputs) -> DataFrame:
+    """Silver from three deliveries: old days, then new ones, then late and corrected rows of old days."""
+    house = Warehouse(i.spark, scratch_path(i.spark, "late-bars"))
+    bars = written(i.bars, "bronze")
+    late = F.pmod(F.xxhash64("symbol", "date", "ingestion_time"), F.lit(5)) == 0
+    old = F.col("date") <= CUT_DATE
+    for part in (old & ~late, ~old, old & late):
+        jobs.deliver(house, "bronze_daily_ohlcv", bars.filter(part))
+        jobs.take_in(house, "bronze_daily_ohlcv", "silver_ohlcv", silver.silver_ohlcv, jobs.DAY, "date")
+    return plain_times(house.read("silver_ohlcv"))
+
+
+@query("SELECT * FROM vwap")
+def late_ticks(i: Inputs) -> DataFrame:
+    """Sessions from two deliveries of ticks, the second of which brings late ones of all days."""
+    house = Warehouse(i.spark, scratch_path(i.spark, "late-ticks"))
+    house.replace("tick_symbols", i.tick_symbols, date=None)
+    late = F.pmod(F.xxhash64("symbol", "event_time", "ingestion_time"), F.lit(4)) == 0
+    for part in (~late, late):
+        jobs.deliver(house, "bronze_ticks", i.ticks.filter(part))
+        jobs.refresh_ticks(house)
+    return plain_times(house.read("gold_intraday_vwap"))
 
 
 _votes_long = " UNION ALL ".join(

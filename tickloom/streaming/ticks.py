@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.session import written
@@ -25,15 +26,58 @@ def tick_stream(messages: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     return decode_ticks(messages).withWatermark("event_time", delay)
 
 
+def dropped_rows(progress: Sequence) -> int:
+    """How many rows came behind the watermark and were dropped, by a query's ``recentProgress``."""
+    told = (json.loads(p.json) if hasattr(p, "json") else p for p in progress)
+    return sum(s.get("numRowsDroppedByWatermark", 0) for p in told for s in p["stateOperators"])
+
+
 def deduplicated(ticks: DataFrame) -> DataFrame:
     """First tick of each symbol and event time, remembered for the length of the watermark.
 
     The watermark's delay must be as long as ticks can come late: a tick behind it is
-    dropped, and counted in the query's ``numRowsDroppedByWatermark``.
+    dropped, which :func:`dropped_rows` tells. :func:`distinct_writer` needs no such guess.
     """
     return ticks.dropDuplicatesWithinWatermark(["symbol", "event_time"])
 
 
+KEY = ("symbol", "event_time")
+
+
+def distinct_writer(
+    path: str, keys: Sequence[str] = KEY, day: str = "event_date", source_id: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that stores the rows of a micro-batch whose keys no earlier batch has brought.
+
+    What is remembered is the table itself, so a repeat is found however late it comes, without a watermark, a guess at
+    the lateness or state that grows. Only the partitions of the batch's own days are read. ``day`` must follow from the
+    keys. A batch replayed after a failure meets the other batches' keys only and overwrites its own rows. NULL keys are
+    keys like others.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        source = source_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not source:
+            raise ValueError("a batch outside a streaming query needs a source_id")
+        rows = written(batch.dropDuplicates(list(keys)), "batch")
+        if table_exists(spark, path):
+            days = [r[0] for r in rows.select(day).distinct().collect()]  # of one micro-batch
+            same_day = F.col(day).isin([d for d in days if d is not None])
+            if None in days:
+                same_day = same_day | F.col(day).isNull()
+            # with its columns given, nothing is inferred from what other batches hold
+            kind = T.StructType([*rows.schema.fields, T.StructField("source_id", T.StringType()), T.StructField("batch_id", T.LongType())])
+            stored = spark.read.schema(kind).parquet(path).filter(same_day)
+            others = stored.filter((F.col("source_id") != source) | (F.col("batch_id") != batch_id))
+            seen = others.select(*[F.col(k).alias(f"_of_{k}") for k in keys])
+            rows = rows.join(seen, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], "left_anti")
+        marked = rows.withColumns({"source_id": F.lit(source), "batch_id": F.lit(batch_id).cast("bigint")})
+        replace_partitions(marked, path, [day, *DELIVERY])
+
+    return write
+
+
 # The two parts of the bronze table: as the stream wrote it, and closed days brought together.
 LIVE, DAYS = "live", "days"
 DELIVERY = ("source_id", "batch_id")
@@ -51,8 +95,6 @@ def bronze_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         source = source_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not source:
             raise ValueError("a batch outside a streaming query needs a source_id")
