@@ -37,8 +37,10 @@ STAMP_NAMES = {*STAMPS.values(), "updated_at"}
 DATED = (
     "bronze_daily_ohlcv", "silver_ohlcv", "gold_volatility_index", "gold_52w_levels", "gold_technical_rating",
     "gold_sector_performance", "gold_anomaly_flags", "gold_batch_anomalies", "decision_cf_engine", "decision_metarule_flags",
-    "decision_signals", "decision_case_outcomes", "decision_cbr_lookup", "silver_ticks", "gold_intraday_vwap",
+    "decision_signals", "decision_case_outcomes", "decision_case_totals", "decision_cbr_lookup", "silver_ticks", "gold_intraday_vwap",
 )
+# What the lookup's tables note: the version of the outcomes that they follow.
+OUTCOMES = "outcomes"
 WHOLE = ("silver_symbols", "knowledge_rules", "tick_symbols", "decision_validation")
 
 
@@ -318,6 +320,7 @@ def record_outcomes(house: Warehouse, today: dt.date, oldest: int | None = decis
     )
     pending = written(decision.pending_signals(signals, recorded, F.lit(today), oldest=oldest), "pending")
     span = value_range(pending, decision.LAST_DAY_AHEAD)
+    known = house.table("decision_case_outcomes").version()
     added = None
     if span:
         prices = decision.prices_in_play(pending, house.read("silver_ohlcv", *span))
@@ -325,21 +328,50 @@ def record_outcomes(house: Warehouse, today: dt.date, oldest: int | None = decis
         added = house.merge("decision_case_outcomes", outcomes, ("symbol", "signal_date"), date="signal_date")
     if not house.exists("decision_case_outcomes"):
         return
+    _look_up(house, str(known.number) if known else None, added)
     library, signals = house.read("decision_case_outcomes"), house.read("decision_signals")
-    if not house.exists("decision_cbr_lookup"):
-        house.replace("decision_cbr_lookup", decision.cbr_lookup(signals, library))
-    else:
-        from_day = _first_changed(house, signals, added)
-        if from_day is not None:
-            asked = signals.filter(F.col("date") >= F.lit(from_day))
-            house.merge("decision_cbr_lookup", decision.cbr_lookup(asked, library, features=signals), DAY)
     house.replace("decision_validation", decision.validation(library, signals), date=None)
 
 
-def _first_changed(house: Warehouse, signals: DataFrame, added: DataFrame | None) -> dt.date | None:
+def _look_up(house: Warehouse, known: str | None, added: DataFrame | None) -> None:
+    """Bring the lookup up to date after outcomes were ``added`` to their version ``known``.
+
+    Stored totals hold what was known by month. Only the months from the first on in which something changes are counted
+    anew, from the signals and outcomes that can become known in them, and the sums go on from the totals before. Both
+    tables note the version of the outcomes they follow; where that is not ``known``, a run has broken off in between and
+    they are made anew.
+    """
+    notes = {OUTCOMES: str(house.table("decision_case_outcomes").version().number)}
+    followed = {house.note(name, OUTCOMES) for name in ("decision_case_totals", "decision_cbr_lookup")}
+    if followed != {known} or known is None:
+        library, signals = house.read("decision_case_outcomes"), house.read("decision_signals")
+        house.replace("decision_case_totals", decision.case_totals(signals, library), "known_on", notes)
+        house.replace("decision_cbr_lookup", decision.cbr_lookup(signals, library), notes=notes)
+        return
+    from_day = _first_changed(house, added)
+    if from_day is None:
+        return
+    first = from_day.replace(day=1)
+    # what becomes known from then on are outcomes of signals at most so long before
+    in_play = first - dt.timedelta(days=decision.LAST_DAY_AHEAD)
+    library, signals = house.read("decision_case_outcomes", in_play), house.read("decision_signals", in_play)
+    totals = decision.case_totals(signals, library).filter(F.col("known_on") >= F.lit(first))
+    months = [m for m in house.table("decision_case_totals").version().parts if int(m) >= first.year * 100 + first.month]
+    house.table("decision_case_totals").commit(
+        tables.by_month(stamped("decision_case_totals", totals), "known_on"), removed=months, notes=notes)
+    before = house.read("decision_case_totals", until=first - dt.timedelta(days=1))
+    asked = signals.filter(F.col("date") >= F.lit(from_day))
+    found = decision.cbr_lookup(asked, library, features=signals, before=before, since=F.lit(first))
+    house.merge("decision_cbr_lookup", found, DAY, notes=notes)
+
+
+def _first_changed(house: Warehouse, added: DataFrame | None) -> dt.date | None:
     """The first day on which a signal's lookup may differ from the stored one."""
-    last = house.read("decision_cbr_lookup").agg(F.max("date")).first()[0]
-    unseen = signals.filter(F.col("date") > F.lit(last)).agg(F.min("date")).first()[0]
+    month = max((int(m) for m in house.table("decision_cbr_lookup").version().parts), default=None)
+    newest = dt.date(month // 100, month % 100, 1) if month else None
+    last = house.read("decision_cbr_lookup", newest).agg(F.max("date")).first()[0]
+    signals = house.read("decision_signals", last)
+    unseen = signals.filter(F.col("date") > F.lit(last)).agg(F.min("date")).first()[0] if last else signals.agg(F.min("date")).first()[0]
     # an outcome that was open before counts anew from its first day
     known = added.agg(F.min("known_5d")).first()[0] if added is not None else None
     return min((d for d in (unseen, known) if d is not None), default=None)

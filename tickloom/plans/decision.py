@@ -11,7 +11,7 @@ from tickloom.functions import dates, labels, numeric as n, text
 from tickloom.operators.asof import in_play, with_forward_value
 from tickloom.operators.quality import against_decision_table
 from tickloom.operators.series import Frame, with_series
-from tickloom.operators.similarity import similar_totals, similar_totals_known
+from tickloom.operators.similarity import daily_totals, monthly_totals, similar_totals, similar_totals_known
 from tickloom.plans.gold import VOTES, anomaly_pivot
 
 # Rule ids in the order their evidence is combined, with the factor used
@@ -501,8 +501,18 @@ def _measures() -> dict[str, dict[str, Column]]:
     return {"known_5d": judged, "known_20d": later}
 
 
+def case_totals(signals: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """What has become known about the cases, by symbol, bins and ``known_month``; ``known_on`` is that month's first."""
+    daily = daily_totals(judged_cases(signals, outcomes), group=["symbol"], labels=BINS, measures=_measures())
+    names = [n for some in _measures().values() for n in some]
+    months = monthly_totals(daily, group=["symbol"], labels=BINS, names=names)
+    first = F.make_date(F.floor(F.col("known_month") / 100).cast("int"), F.col("known_month") % 100, F.lit(1))
+    return months.withColumn("known_on", first)
+
+
 def cbr_lookup(
-    signals: DataFrame, outcomes: DataFrame, known_only: bool = True, features: DataFrame | None = None
+    signals: DataFrame, outcomes: DataFrame, known_only: bool = True, features: DataFrame | None = None,
+    before: DataFrame | None = None, since: Column | None = None,
 ) -> DataFrame:
     """For each signal what happened after similar ones of the same symbol.
 
@@ -510,14 +520,15 @@ def cbr_lookup(
     from the day of its 5-day price on, and its 20-day return from the day of that
     price, so nothing is taken from the future; ``known_only=False`` compares with
     the whole library. ``features`` are the signals that the cases were, by default
-    ``signals``.
+    ``signals``. With the stored ``before`` (:func:`case_totals` of the months before that of ``since``), ``outcomes``
+    and ``features`` need to hold only the cases of which something becomes known from ``since`` on.
     """
     c = F.col
     current = feature_bins(signals)
     cases = judged_cases(signals if features is None else features, outcomes)
     if known_only:
         totals = similar_totals_known(
-            current, cases, group=["symbol"], labels=BINS, measures=_measures(), at="date"
+            current, cases, group=["symbol"], labels=BINS, measures=_measures(), at="date", before=before, since=since,
         )
         found = current.join(totals, ["symbol", *BINS, "date"], "left")
     else:

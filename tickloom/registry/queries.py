@@ -24,6 +24,7 @@ from tickloom.streaming.ticks import bronze_stream, compact_days, distinct_write
 
 # Parameters of the queries that take one.
 CUT_DATE = "1999-06-30"
+RESUMED_FROM = "1998-01-01"
 WINDOW_START, WINDOW_DAYS = "1998-03-01", 7
 CHECK_TIME = "2024-01-31 12:00:00"
 TRACED_SYMBOL = "NATION_1"
@@ -505,6 +506,21 @@ def cbr_lookup_known(i: Inputs) -> DataFrame:
     return decision.cbr_lookup(i.stored_signals, i.stored_outcomes)
 
 
+@query("SELECT * FROM lookup_known")
+def cbr_lookup_resumed(i: Inputs) -> DataFrame:
+    """The lookup in two instalments: up to a month, then from the stored totals of the months before it on."""
+    signals, outcomes = i.stored_signals, i.stored_outcomes
+    first = F.lit(RESUMED_FROM).cast("date")
+    early = F.col("date") < first
+    totals = decision.case_totals(signals, outcomes).filter(F.col("known_on") < first)
+    before = written(totals, "case-totals")
+    in_play = F.date_sub(first, decision.LAST_DAY_AHEAD)
+    recent = outcomes.filter(F.col("signal_date") >= in_play)
+    resumed = decision.cbr_lookup(
+        signals.filter(~early), recent, features=signals.filter(F.col("date") >= in_play), before=before, since=first)
+    return decision.cbr_lookup(signals.filter(early), outcomes, features=signals).unionByName(resumed)
+
+
 @query("SELECT * FROM valid")
 def validation(i: Inputs) -> DataFrame:
     return decision.validation(i.stored_outcomes, i.stored_signals)
