@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import DAY, bars, same_rows
+from helpers import DAY, bars, plan_of, same_rows
 from tickloom.operators import quality
 from tickloom.operators.forest import expected_depth, isolation_scores, with_isolation_score
 from tickloom.operators.similarity import similar_totals, similar_totals_known
@@ -183,3 +183,24 @@ def test_blocks_keep_rows_without_a_key_or_a_date(spark):
     stage = lambda over: {"mean": F.avg("close").over(over(3))}
     plain = with_series(df, [stage], lookback=2)
     assert same_rows(with_series(df, [stage], lookback=2, block_rows=3), plain) and plain.count() == 11
+
+
+@pytest.mark.parametrize("slice_days", [1, 7, 24, 1000])
+def test_forward_values_by_slices(spark, slice_days):
+    """One symbol with all rows in many windows; gaps, NULL values, days before 1970, an event without a date."""
+    from tickloom.operators.asof import with_forward_value
+
+    pick = random.Random(slice_days)
+    start = dt.date(1969, 11, 1)
+    prices = {k: pick.choice([None, float(k)]) for k in range(200) if pick.random() < 0.6}
+    series = spark.createDataFrame([("A", start + dt.timedelta(days=k), v) for k, v in prices.items()], "symbol string, date date, close double")
+    events = spark.createDataFrame([("A", start + dt.timedelta(days=k), k) for k in range(-30, 210)] + [("A", None, 999)], "symbol string, date date, k int")
+    windows = {"near": (-2, 3), "far": (20, 24)}
+    found = with_forward_value(events, series, value="close", windows=windows, dates=True, slice_days=slice_days)
+    assert "hashpartitioning(symbol" in plan_of(found) and "_slice" in plan_of(found).split("hashpartitioning(symbol")[1].split(")")[0]
+    got = {r.k: (r.near, r.far, r.far_date) for r in found.collect()}
+    assert got.pop(999) == (None, None, None) and len(got) == 240
+    for k, (near, far, far_date) in got.items():
+        first = [next((d for d in range(k + low, k + high + 1) if prices.get(d) is not None), None) for low, high in windows.values()]
+        assert (near, far) == tuple(None if d is None else prices[d] for d in first)
+        assert far_date == (None if first[1] is None else start + dt.timedelta(days=first[1]))

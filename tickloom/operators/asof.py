@@ -7,6 +7,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+# Days of a series in one window: a year, of which the next slice's first weeks are copied.
+SLICE_DAYS = 366
 
 def with_forward_value(
     events: DataFrame,
@@ -17,24 +19,31 @@ def with_forward_value(
     dates: bool = False,
     key: str = "symbol",
     date: str = "date",
+    slice_days: int = SLICE_DAYS,
 ) -> DataFrame:
     """For each event the first ``value`` of its series in days ``[date + low, date + high]``.
 
     ``windows`` names an output column for each ``(low, high)``; no value in range
     gives NULL. With ``dates`` a column ``<name>_date`` tells the day of the value.
     Events and series are put into one ordering by day and read with range frames:
-    one shuffle by key, no join and no candidate rows. A task holds the events and
-    values of one key, which daily series bound by their days.
+    one shuffle, no join and no candidate rows. A series is cut into slices of ``slice_days``; values
+    that events of an earlier slice can reach are copied into it, so a window holds one slice of one key however
+    long its history is. An event without a date finds nothing.
     """
     day = F.datediff(date, F.lit("1970-01-01").cast("date"))
+    slice_of = lambda d: F.floor(d / slice_days)
+    lowest, highest = min(low for low, _ in windows.values()), max(high for _, high in windows.values())
     point = F.struct(F.col(value).alias("value"), F.col(date).cast("date").alias("date"))
     points = series.select(key, date, F.when(F.col(value).isNotNull(), point).alias("_point"))
     marks = events.select(
         key, date, F.lit(None).cast(points.schema["_point"].dataType).alias("_point"),
         F.struct(*events.columns).alias("_event"),
     )
-    points = points.withColumn("_event", F.lit(None).cast(marks.schema["_event"].dataType))
-    order = Window.partitionBy(key).orderBy("_day")
+    points = points.withColumns({
+        "_event": F.lit(None).cast(marks.schema["_event"].dataType), "_day": day,
+    }).withColumn("_slice", F.explode(F.sequence(slice_of(F.col("_day") - highest), slice_of(F.col("_day") - lowest))))
+    marks = marks.withColumn("_day", day).withColumn("_slice", slice_of(F.col("_day")))
+    order = Window.partitionBy(key, "_slice").orderBy("_day")
     found = {
         f"_at_{name}": F.first("_point", ignorenulls=True).over(order.rangeBetween(low, high))
         for name, (low, high) in windows.items()
@@ -42,7 +51,7 @@ def with_forward_value(
     values = [F.col(f"_at_{name}.value").alias(name) for name in windows]
     days = [F.col(f"_at_{name}.date").alias(f"{name}_date") for name in windows] if dates else []
     return (
-        points.unionByName(marks).withColumn("_day", day).withColumns(found)
+        points.unionByName(marks).withColumns(found)
         .filter(F.col("_event").isNotNull()).select("_event.*", *values, *days)
     )
 
