@@ -204,3 +204,53 @@ def test_forward_values_by_slices(spark, slice_days):
         first = [next((d for d in range(k + low, k + high + 1) if prices.get(d) is not None), None) for low, high in windows.values()]
         assert (near, far) == tuple(None if d is None else prices[d] for d in first)
         assert far_date == (None if first[1] is None else start + dt.timedelta(days=first[1]))
+
+
+def _points(spark, n, group="A"):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 2)).round(3)
+    rows = [(group, k, float(a), float(b)) for k, (a, b) in enumerate(x)]
+    return spark.createDataFrame(rows, "g string, k int, x double, y double"), x
+
+
+def test_forest_scores_by_blocks(spark):
+    """Blocks of a group change no score, and a group no larger than the pool is scored as by one numpy forest."""
+    import zlib
+
+    df, x = _points(spark, 700)
+    nulls = spark.createDataFrame([("A", 900, None, 1.0), (None, 901, 1.0, 2.0)], df.schema)
+    settings = dict(group=["g"], order="k", features=["x", "y"], trees=20)
+    plain = isolation_scores(x, [42, zlib.crc32(b"A")], trees=20, sample=256)
+    for block_rows in (50, 65536):
+        scored = with_isolation_score(df.unionByName(nulls), block_rows=block_rows, **settings)
+        got = {r.k: r.isolation for r in scored.collect()}
+        assert sorted(got) == list(range(700)) and [got[k] for k in range(700)] == plain.tolist()
+    assert with_isolation_score(df.limit(0), **settings).isEmpty()
+
+
+def test_forest_of_a_group_larger_than_its_pool(spark):
+    """Every row is scored, by trees from the pool alone; the outliers still lead."""
+    from tickloom.operators.forest import grown_forests
+
+    df, _ = _points(spark, 3000)
+    far = spark.createDataFrame([("A", 5000 + k, 9.0 + k, -9.0) for k in range(4)], df.schema)
+    settings = dict(group=["g"], order="k", features=["x", "y"], trees=50, sample=128, pool_rows=512)
+    both = df.unionByName(far)
+    one = grown_forests(both, **settings).collect()
+    assert len(one) == 1 and set(one[0].held[:50]) == {128}
+    scored = with_isolation_score(both.repartition(7), block_rows=300, **settings)
+    assert "_block" in plan_of(scored)
+    rows = sorted(scored.collect(), key=lambda r: -r.isolation)
+    assert len(rows) == 3004 and len({r.k for r in rows[:12]} & {5000, 5001, 5002, 5003}) == 4
+    again = {r.k: r.isolation for r in with_isolation_score(both, block_rows=10**6, **settings).collect()}
+    assert again == {r.k: r.isolation for r in rows}
+    with pytest.raises(ValueError):
+        grown_forests(both, **{**settings, "pool_rows": 100})
+
+
+def test_forest_reads_its_input_once(spark, inputs):
+    """The group's exchange is shared by pools, marks and blocks when the query runs."""
+    scored = detectors.forest_scores(detectors.ml_features(inputs.volatility), trees=5)
+    scored.collect()
+    final = scored._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final or "reuse" in final.lower()

@@ -9,10 +9,12 @@ symbol's share of it.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions import dates, numeric as n
-from tickloom.operators.forest import with_isolation_score
+from tickloom.operators.forest import Draws, HalvingDraws, RandomDraws, forest_nodes, grown_forests, with_isolation_score
 from tickloom.operators.series import Frame, rolling_mean, rolling_std, with_series
 
 # The runs and the detectors' settings.
@@ -81,22 +83,46 @@ def zscore_scale(features: DataFrame) -> DataFrame:
     )
 
 
-def isolation_forest(features: DataFrame) -> DataFrame:
-    """Isolation scores, scaled to [0, 1] per group, flagged above the group's 95th percentile.
-
-    The forest compares each feature only with cuts drawn between its own
-    extremes, so scaling the features first would not change the outcome. Runs in
-    which a symbol has no row to judge grow no forest for it.
-    """
+def _to_judge(features: DataFrame) -> DataFrame:
+    """The forest's input: the rows of all groups in which there is a row to judge."""
     # marked in the partitioning that growing needs as well, so the input is read once
     judged = F.bool_or("is_scored").over(Window.partitionBy(*GROUP))
     narrow = features.select(*GROUP, "date", "is_scored", *FOREST_FEATURES)
-    scored = with_isolation_score(
-        narrow.withColumn("is_judged", judged).filter("is_judged").drop("is_judged"),
-        group=GROUP, order="date", features=FOREST_FEATURES, min_rows=MIN_ROWS,
-        trees=TREES, sample=TREE_SAMPLE, seed=SEED,
+    return narrow.withColumn("is_judged", judged).filter("is_judged").drop("is_judged")
+
+
+def forest_scores(
+    features: DataFrame, trees: int = TREES, draws: Callable[[Sequence[int]], Draws] = RandomDraws
+) -> DataFrame:
+    """Isolation scores of all rows of the groups with a row to judge.
+
+    The forest compares each feature only with cuts drawn between its own
+    extremes, so scaling the features first would not change the outcome.
+    """
+    return with_isolation_score(
+        _to_judge(features), group=GROUP, order="date", features=FOREST_FEATURES, min_rows=MIN_ROWS,
+        trees=trees, sample=TREE_SAMPLE, seed=SEED, draws=draws,
     )
-    return forest_verdicts(scored)
+
+
+def halving_nodes(features: DataFrame) -> DataFrame:
+    """The nodes of a forest without chance, a tree beginning with each feature."""
+    forests = grown_forests(
+        _to_judge(features), group=GROUP, order="date", features=FOREST_FEATURES, min_rows=MIN_ROWS,
+        trees=len(FOREST_FEATURES), sample=TREE_SAMPLE, seed=SEED, draws=HalvingDraws,
+    )
+    return forest_nodes(forests, GROUP)
+
+
+def isolation_forest(features: DataFrame) -> DataFrame:
+    """Isolation scores, scaled to [0, 1] per group, flagged above the group's 95th percentile."""
+    return forest_verdicts(forest_scores(features))
+
+
+def halving_forest(features: DataFrame) -> DataFrame:
+    """The verdicts of the forest without chance; its scores are rounded, as they tie where paths agree."""
+    scored = forest_scores(features, len(FOREST_FEATURES), HalvingDraws)
+    return forest_verdicts(scored.withColumn("isolation", n.round_half_up(F.col("isolation"), 9)))
 
 
 def forest_verdicts(isolated: DataFrame) -> DataFrame:
@@ -161,10 +187,12 @@ def batch_price_iqr(features: DataFrame) -> DataFrame:
     return _verdicts(fenced, "price_iqr", score, FENCE_WIDTH, outside)
 
 
-def detect_all(features: DataFrame) -> DataFrame:
+def detect_all(
+    features: DataFrame, forest: Callable[[DataFrame], DataFrame] = isolation_forest
+) -> DataFrame:
     """The verdicts of the three detectors as one long table."""
     return (
-        isolation_forest(features)
+        forest(features)
         .unionByName(batch_volume_zscore(features))
         .unionByName(batch_price_iqr(features))
     )

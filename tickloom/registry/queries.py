@@ -15,7 +15,7 @@ from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.series import with_series
 from tickloom.plans import checks, decision, detectors, gold, readside, silver
 from tickloom.registry.inputs import Inputs
-from tickloom.registry.oracle import LIT, VOTES, fixed, frame, pct, rnd, statement
+from tickloom.registry.oracle import LIT, VOTES, fixed, forest_statement, frame, pct, rnd, statement
 from tickloom.session import scratch_path, written
 from tickloom.sources import bars as bar_source, seeds, tables
 from tickloom.sources.ticks import decode_ticks
@@ -562,17 +562,7 @@ def zscore_scale(i: Inputs) -> DataFrame:
     return detectors.zscore_scale(detectors.ml_features(i.volatility))
 
 
-_group = "OVER (PARTITION BY window_start, symbol)"
-
-
-@query(f"""
-SELECT symbol, date, 'isolation_forest' AS anomaly_type, {rnd('relative', 4)} AS score, 0.05{LIT} AS threshold,
-       isolation > cut AS is_anomaly
-FROM (SELECT *, CASE WHEN high > low THEN (isolation - low) / (high - low) ELSE 0.0{LIT} END AS relative
-      FROM (SELECT *, min(isolation) {_group} AS low, max(isolation) {_group} AS high,
-                   quantile_cont(isolation, 0.95) {_group} AS cut
-            FROM (SELECT *, abs(log_return) AS isolation FROM run_rows)))
-WHERE is_scored""")
+@query(forest_statement("(SELECT *, abs(log_return) AS isolation FROM run_rows)"))
 def forest_verdicts(i: Inputs) -> DataFrame:
     """What becomes of isolation scores, on scores that both engines know: the size of the move."""
     runs = detectors.ml_features(i.volatility)
@@ -888,3 +878,27 @@ def statements() -> dict[str, str]:
     return {name: statement(q.sql) for name, q in QUERIES.items() if q.sql}
 
 
+@query("SELECT * FROM halving_nodes")
+def forest_nodes(i: Inputs) -> DataFrame:
+    """The nodes of a forest that both engines can grow: first rows, features in turn, cuts in the middle."""
+    nodes = detectors.halving_nodes(detectors.ml_features(i.volatility))
+    return nodes.withColumns(n.rounded(value=9))
+
+
+@query("SELECT * FROM run_forest")
+def halving_forest(i: Inputs) -> DataFrame:
+    """The forest from its rows to its verdicts, with such trees."""
+    return detectors.halving_forest(detectors.ml_features(i.volatility))
+
+
+@query("""
+SELECT *, by_forest AND by_volume AND by_price AS all_agree
+FROM (SELECT symbol, date, coalesce(bool_or(is_anomaly) FILTER (anomaly_type = 'isolation_forest'), FALSE) AS by_forest,
+             coalesce(bool_or(is_anomaly) FILTER (anomaly_type = 'volume_zscore'), FALSE) AS by_volume,
+             coalesce(bool_or(is_anomaly) FILTER (anomaly_type = 'price_iqr'), FALSE) AS by_price
+      FROM (SELECT * FROM run_forest UNION ALL SELECT * FROM run_volume UNION ALL SELECT * FROM run_price)
+      GROUP BY symbol, date)""")
+def halving_agreement(i: Inputs) -> DataFrame:
+    """The agreement of all three detectors, the forest with such trees."""
+    runs = written(detectors.ml_features(i.volatility), "runs")
+    return detectors.triple_agreement(detectors.detect_all(runs, detectors.halving_forest))
