@@ -71,3 +71,30 @@ def test_forest():
     a, b = np.array([5, 9, 3, 100]), np.array([9, 3, 7, 101])
     node, root = vectors.forest(a, b)
     assert dict(zip(node.tolist(), root.tolist())) == {5: 3, 9: 3, 7: 3, 101: 100}
+
+
+def test_query_matches_sql(spark):
+    from compare import connect, difference, spark_result, sql_result
+    from tickloom.llm.queries import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.01"
+    got = spark_result(QUERIES["op9_vector_links"](spark, folder))
+    assert difference(got, sql_result(connect(folder), SQL["op9_vector_links"])) is None
+
+
+def test_sql_on_hostile_vectors(spark):
+    """The statement itself against the operator, where vectors are null, empty, zero, equal or of several lengths."""
+    import duckdb
+    from compare import difference, spark_result, sql_result
+    from tickloom.llm.queries import SQL
+
+    rows = [
+        (5, [1.0, 0.0]), (3, [2.0, 0.0]), (9, [0.95, 0.31]), (2, [0.5, 0.86]), (1, [0.0, 0.0]), (4, None), (6, []),
+        (7, [1.0, None]), (8, [float("nan"), 1.0]), (10, [float("inf"), 1.0]), (11, [1.0, 0.0, 0.0]), (12, [3.0, 0.0, 0.1]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    db = duckdb.connect()
+    db.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    db.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    got = spark_result(vectors.near_duplicates(df))
+    assert difference(got, sql_result(db, SQL["op9_vector_links"])) is None

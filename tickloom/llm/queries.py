@@ -209,7 +209,29 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 # --- 9: near-duplicate vectors ---------------------------------------------------------------
 
 
-@query()
+# All pairs, and the closure of the links: quadratic, for tables of thousands of vectors.
+SQL_LINKS = """
+WITH RECURSIVE given AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), sound AS MATERIALIZED (
+  SELECT r, v FROM (SELECT r, v, unnest(v) AS x FROM given)
+  GROUP BY r, v HAVING count(x) = len(v) AND bool_and(isfinite(x)) AND bool_or(x <> 0)
+), pairs AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.r < b.r AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), links AS MATERIALIZED (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reached AS (
+  SELECT r AS a, r AS b FROM given UNION SELECT t.a, l.b FROM reached t JOIN links l ON l.a = t.b
+), classes AS (
+  SELECT t.a AS r, min(g.vec_id) AS component_id FROM reached t JOIN given g ON g.r = t.b GROUP BY t.a
+)
+SELECT g.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, g.vec_id = c.component_id AS kept
+FROM given g JOIN classes c ON c.r = g.r
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = g.r"""
+
+
+@query(SQL_LINKS)
 def op9_vector_links(spark: SparkSession, folder: str) -> DataFrame:
     """The links and the class of every vector."""
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
