@@ -131,3 +131,24 @@ def test_checks_tell_what_is_wrong(spark):
         ("gold_52w_levels", "not_null", "symbol"): 1, ("silver_ohlcv", "freshness", "ingestion_time"): 1}
     stored = spark.read.parquet(house.path("quality_reports"))
     assert stored.select("checked_at").distinct().count() == 2
+
+
+def test_a_check_reads_its_table_once(spark):
+    """All tests of a contract come from one scan and one grouping by key; an empty table passes but for its age."""
+    from tickloom.plans import checks
+
+    path = scratch_path(spark, "scanned")
+    stamp = dt.datetime(2024, 1, 31, 12)
+    rows = [("A", stamp, 1.0, 5, "live"), ("A", stamp, 1.0, None, "odd"), ("A", stamp, None, 5, None), (None, stamp, 1.0, 5, "live")]
+    ticks = spark.createDataFrame(rows, "symbol string, event_time timestamp, price double, volume long, session_status string")
+    ticks.withColumn("ingestion_time", F.col("event_time")).write.parquet(path)
+    contract = checks.CONTRACTS["silver_ticks"]
+    report = checks.table_report("ticks", spark.read.parquet(path), contract, "2024-02-03 13:00:00")
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [(r.test, r.subject, r.failures, r.status) for r in report.collect()] == [
+        ("not_null", "symbol", 1, "error"), ("not_null", "event_time", 0, "pass"), ("not_null", "price", 1, "error"),
+        ("not_null", "volume", 1, "error"), ("unique", "symbol,event_time", 3, "error"),
+        ("accepted_values", "session_status", 1, "error"), ("freshness", "ingestion_time", 1, "error")]
+    empty = checks.table_report("ticks", spark.read.parquet(path).limit(0), contract, "2024-02-03 13:00:00")
+    assert {r.test: r.failures for r in empty.collect()} == {
+        "not_null": 0, "unique": 0, "accepted_values": 0, "freshness": 1}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,21 +37,31 @@ def accepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> Data
     )
 
 
+def age_hours(newest: Column, now: str) -> Column:
+    return (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(newest.cast("timestamp"))) / 3.6e9
+
+
+def age_status(newest: Column, now: str, warn_hours: float, error_hours: float | None = None) -> Column:
+    """``pass``, ``warn`` or ``error`` by the age of the newest row; no row is an error."""
+    age = age_hours(newest, now)
+    limit = F.lit(None).cast("double") if error_hours is None else F.lit(float(error_hours))
+    return (
+        F.when(age.isNull(), F.lit("error"))
+        .when(age > limit, F.lit("error"))
+        .when(age > warn_hours, F.lit("warn"))
+        .otherwise(F.lit("pass"))
+    )
+
+
 def freshness(
     df: DataFrame, stamp: str, now: str, warn_hours: float, error_hours: float | None = None
 ) -> DataFrame:
     """Age of the newest row against the two limits; an empty table is an error."""
-    age = (
-        F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.max(stamp).cast("timestamp"))
-    ) / 3.6e9
-    limit = F.lit(None).cast("double") if error_hours is None else F.lit(float(error_hours))
-    status = (
-        F.when(F.col("age_hours").isNull(), F.lit("error"))
-        .when(F.col("age_hours") > limit, F.lit("error"))
-        .when(F.col("age_hours") > warn_hours, F.lit("warn"))
-        .otherwise(F.lit("pass"))
+    newest = F.col("newest")
+    return df.agg(F.max(stamp).alias("newest")).select(
+        age_hours(newest, now).alias("age_hours"),
+        age_status(newest, now, warn_hours, error_hours).alias("status"),
     )
-    return df.agg(age.alias("age_hours")).withColumn("status", status)
 
 
 def against_decision_table(

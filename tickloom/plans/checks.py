@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.operators import quality
 
@@ -59,22 +59,34 @@ def table_report(name: str, df: DataFrame, contract: Contract, now: str | None =
 
     ``failures`` counts rows, for the key those that share theirs. The age is only tested where a ``now`` is given,
     and fails once. An empty table passes all but that.
+
+    The table is read once: everything is counted per key, which uniqueness needs anyway, and added up.
     """
     required = (*contract.key, *contract.required)
-    nulls = quality.not_null(df, required).select(
-        F.lit("not_null").alias("test"), F.col("column_name").alias("subject"), "failures")
-    parts = [nulls, quality.unique(df, contract.key).select(
-        F.lit("unique"), "key", F.col("rows_involved"))]
-    for column, values in contract.accepted.items():
-        parts.append(quality.accepted_values(df, column, values).agg(
-            F.lit("accepted_values"), F.lit(column), F.coalesce(F.sum("failures"), F.lit(0))))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.union(part)
-    report = report.withColumn("status", F.when(F.col("failures") > 0, "error").otherwise("pass"))
-    if now is not None and contract.stamp:
-        age = quality.freshness(df, contract.stamp, now, contract.warn_hours, contract.error_hours)
-        report = report.union(age.select(
-            F.lit("freshness"), F.lit(contract.stamp),
-            F.when(F.col("status") == "pass", 0).otherwise(1).cast("long"), "status"))
-    return report.select(F.lit(name).alias("table_name"), "*")
+    stamp = contract.stamp if now is not None else None
+    failing = {
+        **{("not_null", c): F.col(c).isNull() for c in required},
+        **{("accepted_values", c): ~F.col(c).isin(list(values)) for c, values in contract.accepted.items()},
+    }
+    counted = {f"_{k}": F.count_if(failure) for k, failure in enumerate(failing.values())}
+    newest = [F.max(stamp).alias("_newest")] if stamp else []
+    of_keys = [F.col(c).alias(f"_key_{k}") for k, c in enumerate(contract.key)]
+    by_key = df.groupBy(*of_keys).agg(
+        F.count(F.lit(1)).alias("_rows"), *[c.alias(k) for k, c in counted.items()], *newest)
+    totals = by_key.agg(
+        F.sum(F.when(F.col("_rows") > 1, F.col("_rows"))).alias("_shared"),
+        *[F.sum(k).alias(k) for k in counted], *[F.max("_newest").alias("_newest") for _ in newest])
+
+    def told(test: str, subject: str, failures: Column, status: Column | None = None) -> Column:
+        failures = F.coalesce(failures, F.lit(0)).cast("long")
+        status = F.when(failures > 0, "error").otherwise("pass") if status is None else status
+        return F.struct(
+            F.lit(name).alias("table_name"), F.lit(test).alias("test"), F.lit(subject).alias("subject"),
+            failures.alias("failures"), status.alias("status"))
+
+    tests = [told(test, subject, F.col(k)) for (test, subject), k in zip(failing, counted)]
+    tests.insert(len(required), told("unique", ",".join(contract.key), F.col("_shared")))
+    if stamp:
+        age = quality.age_status(F.col("_newest"), now, contract.warn_hours, contract.error_hours)
+        tests.append(told("freshness", stamp, F.when(age == "pass", 0).otherwise(1), age))
+    return totals.select(F.inline(F.array(*tests)))
