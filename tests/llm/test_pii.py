@@ -136,3 +136,62 @@ def test_as_columns(spark, tagger):
     assert [r.text for r in clean.orderBy("doc_id").collect()] == ["mail <email> or <ip>", None, "", "", "é🙂 <email>"]
     assert pii.with_spans(df.limit(0), None).count() == 0
     assert pii.fit(df.limit(0)) is None
+
+
+def test_runs_of_windows_are_decoded_as_one_text(tagger):
+    """The joined windows have the best path of the whole run's scores, steps across their borders included."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("ab@. 0123456789+-"), size=n)) for n in (1, 47, 48, 49, 400, 1000)]
+    texts.append("x" * 40 + "abcdef . ghij . klmno . " * 8 + "@ mail7 . example . com and " * 9)
+    for text in texts:
+        _, starts, windows = pii._windows(text, False)
+        first = np.arange(len(starts)) == 0
+        got = tagger.reconciled(windows, first).ravel()
+        scores = tagger.scores(np.ascontiguousarray(windows.T))[0][pii.MARGIN : pii.WINDOW - pii.MARGIN]
+        flat = scores.transpose(1, 0, 2).reshape(-1, len(pii.TAGS)).astype(float)
+        best, came = tagger.steps[0] + flat[0], []
+        for now in flat[1:]:
+            ways = best[:, None] + tagger.steps
+            came.append(ways.argmax(axis=0))
+            best = ways.max(axis=0) + now
+        path = [int(best.argmax())]
+        for step in reversed(came):
+            path.append(int(step[path[-1]]))
+        want = np.array(path[::-1])
+
+        def value(tags):
+            before = np.concatenate([[0], tags[:-1]])
+            return flat[np.arange(len(tags)), tags].sum() + tagger.steps[before, tags].sum()
+
+        assert abs(value(got) - value(want)) < 1e-2
+
+
+def test_runs_do_not_touch_each_other(tagger):
+    texts = ["call me at 54 . 12 . 7 . 9 now " * 5, "", "name.x @ mail3.example.com " * 9]
+    parts = [pii._windows(t, False)[2] for t in texts]
+    first = np.concatenate([np.arange(len(p)) == 0 for p in parts])
+    alone = [tagger.reconciled(p, np.arange(len(p)) == 0) for p in parts]
+    assert np.array_equal(tagger.reconciled(np.concatenate(parts), first), np.concatenate(alone))
+
+
+NAMES = ["jane.doe", "k_miller", "bob99", "anna-lena.k", "office", "qx.vee", "m.o.brien", "tremaine"]
+SPELLINGS = {
+    "name @ host": lambda p: f"{p.choice(NAMES)}{p.randrange(90)} @ mail{p.randrange(9)}.example.com",
+    "name@host . example . com": lambda p: f"{p.choice(NAMES)}{p.randrange(90)}@mail{p.randrange(9)} . example . com",
+    "a . b . c . d": lambda p: f"{p.randrange(1, 224)} . {p.randrange(256)} . {p.randrange(256)} . {p.randrange(256)}",
+    "(area) number": lambda p: f"({p.randrange(200, 990)}) 555-{p.randrange(1000, 9999)}",
+}
+
+
+def recall(tagger, spelling, trials=100):
+    pick, whole = random.Random(7), 0
+    for _ in range(trials):
+        said = SPELLINGS[spelling](pick)
+        text = f"{pick.choice(['please write to', 'it was sent from', 'reach us under'])} {said} {pick.choice(['and wait', 'by friday', 'for more'])}"
+        whole += any(text[s:e] == said for s, _, e in pii.find([text], tagger)[0])
+    return whole / trials
+
+
+@pytest.mark.parametrize("spelling", sorted(SPELLINGS))
+def test_recall_by_spelling(tagger, spelling):
+    assert recall(tagger, spelling) >= 0.9

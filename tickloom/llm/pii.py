@@ -260,11 +260,46 @@ class Tagger:
                 group, held = [], 0
         return out + self._group(group)
 
+    def _ways(self, windows: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """For each window the value of the best way through its middle, by the tag before it and the last in it.
+
+        With the steps of those ways: at each character the tag before, by the tag before the middle and the tag there.
+        """
+        scores = self.scores(np.ascontiguousarray(windows.T))[0][MARGIN : WINDOW - MARGIN]
+        best, came = self.steps + scores[0][:, None, :], []
+        for now in scores[1:]:
+            ways = best[:, :, :, None] + self.steps
+            came.append(ways.argmax(axis=2).astype(np.int8))
+            best = ways.max(axis=2) + now[:, None, :]
+        return best, came
+
+    def reconciled(self, windows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The tags of the middles of windows, each run of which is decoded as one text (``first``: where one begins).
+
+        The best ways through each middle are found for all windows at once; along the runs they are joined to the best
+        path of the whole run. Only windows on that path that hold a span are followed again, so no step of a
+        character is kept. What lies before a run has no span.
+        """
+        n, tags = len(windows), np.zeros((len(windows), MIDDLE), np.int8)
+        if not n:
+            return tags
+        best, plain = [], []
+        for k in range(0, n, _BATCH):
+            ways, came = self._ways(windows[k : k + _BATCH])
+            best.append(ways)
+            plain.append(~_traced(came, np.zeros(len(ways), np.int8), np.zeros(len(ways), np.int8)).any(axis=1))
+        before, last = _joined(np.concatenate(best), first)
+        again = np.flatnonzero((before != 0) | (last != 0) | ~np.concatenate(plain))
+        for k in range(0, len(again), _BATCH):
+            some = again[k : k + _BATCH]
+            tags[some] = _traced(self._ways(windows[some])[1], before[some], last[some])
+        return tags
+
     def _group(self, group: list[tuple[int, np.ndarray, np.ndarray]]) -> list[list[tuple[int, int, int]]]:
         found = [w for _, _, w in group if len(w)]
         windows = np.concatenate(found) if found else np.zeros((0, WINDOW), np.uint8)
-        middles = [self.decode(np.ascontiguousarray(windows[k : k + _BATCH].T))[MARGIN : WINDOW - MARGIN].T for k in range(0, len(windows), _BATCH)]
-        tagged = np.concatenate(middles) if middles else np.zeros((0, MIDDLE), np.int8)
+        first = [np.diff(starts, prepend=-WINDOW) != MIDDLE for _, starts, _ in group]
+        tagged = self.reconciled(windows, np.concatenate(first) if first else np.zeros(0, bool))
         out, at = [], 0
         for length, starts, _ in group:
             tags = np.zeros(-(-length // MIDDLE) * MIDDLE, np.int8)
@@ -276,6 +311,31 @@ class Tagger:
         return out
 
 
+def _traced(came: list[np.ndarray], before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The tags of each window's middle on the best way between two tags."""
+    rows, tags = np.arange(len(last)), np.empty((len(last), len(came) + 1), np.int8)
+    tags[:, -1] = now = last
+    for t in range(len(came) - 1, -1, -1):
+        tags[:, t] = now = came[t][rows, before, now]
+    return tags
+
+
+def _joined(best: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the tag before it and the last in it, on the best path of its run."""
+    n, _, kinds = best.shape
+    place = np.arange(n) - np.flatnonzero(first)[np.cumsum(first) - 1]
+    levels = np.split(np.argsort(place, kind="stable"), np.cumsum(np.bincount(place))[:-1])
+    value, came = best[:, 0, :].astype(np.float64), np.zeros((n, kinds), np.int8)
+    for now in levels[1:]:
+        ways = value[now - 1][:, :, None] + best[now]
+        came[now], value[now] = ways.argmax(axis=1), ways.max(axis=1)
+        value[now] -= value[now].max(axis=1, keepdims=True)
+    last = value.argmax(axis=1).astype(np.int8)
+    for now in levels[:0:-1]:
+        last[now - 1] = came[now, last[now]]
+    return came[np.arange(n), last], last
+
+
 def _windows(text: str, skip: bool) -> tuple[int, np.ndarray, np.ndarray]:
     """The length of a text, where the middles of its windows start, and the classes in each window."""
     classes = _TABLE[code_points(text)]
@@ -316,11 +376,29 @@ def _added(text: str, base: list[tuple[int, int, int]], spans: list[tuple[int, i
             s += 1
         while e > s and not text[e - 1].isalnum():
             e -= 1
+        if s < e:
+            s, e = _whole_words(text, s, kind, e)
         if s < e and not covered[s:e].any() and _holds(kind, text[s:e]):
             added.append((s, kind, e))
     return added
 
 
+def _whole_words(text: str, start: int, kind: int, end: int) -> tuple[int, int]:
+    """A span with all of the words it begins and ends in: of mail the name's characters, else digits.
+
+    Mail that begins with its ``@`` gets the name before it, which may stand apart.
+    """
+    part = NAME if kind == 0 else "0123456789"
+    before, after = text[max(0, start - MOST_ADDED) : start], text[end : end + MOST_ADDED]
+    named = before.rstrip(" ") if kind == 0 and text[start] == "@" else before if text[start] in part else ""
+    word = len(named) - len(named.rstrip(part))
+    low = start - (len(before) - len(named)) - word if word else start
+    high = end + len(after) - len(after.lstrip(part)) if text[end - 1] in part else end
+    while high > end and not text[high - 1].isalnum():
+        high -= 1
+    return low, high
+
+
 def _spelled(rng: np.random.Generator, kind: int, span: str) -> str:
     """The span in its plain form or in a spelling the patterns don't know."""
     way = rng.integers(0, 3)
