@@ -11,6 +11,8 @@ from tickloom.session import scratch_path, shared_dir, written
 from tickloom.sources import tables
 from tickloom.sources.deliveries import Deliveries
 from tickloom.sources.ticks import decode_ticks
+from tickloom.sources.versions import Conflict, VersionedTable
+from tickloom.streaming import ticks as streamed
 from tickloom.streaming.ticks import (
     bronze_stream, bronze_writer, compact_days, deduplicated, distinct_writer, dropped_rows, read_bronze, tick_stream,
 )
@@ -155,7 +157,7 @@ def test_closed_days_are_brought_together(spark, path):
     for _ in range(2):
         compact_days(spark, path, dt.date(2024, 1, 3), buckets=2)
         assert same_rows(read_bronze(spark, path).select(want.columns), want)
-    days = spark.read.parquet(f"{path}/days")
+    days = VersionedTable(spark, f"{path}/days", "event_date").read()
     assert {str(r[0]) for r in days.select("event_date").distinct().collect()} == {"2024-01-01", "2024-01-02"}
     live = spark.read.parquet(f"{path}/live")
     assert {str(r[0]) for r in live.select("event_date").distinct().collect()} == {"2024-01-03"}
@@ -167,6 +169,91 @@ def test_closed_days_are_brought_together(spark, path):
     assert read_bronze(spark, path).count() == want.count() + 1
 
 
+def day_batch(spark, days=(1, 2, 3), names="ABC"):
+    rows = [message(s, time=f"2024-01-0{d}T10:00:00.000000Z") for s in names for d in days]
+    return decode_ticks(spark.createDataFrame([(r.encode(),) for r in [*rows, message("X", time="never")]], "value binary"))
+
+
+@pytest.mark.parametrize("broken", ["commit", "remove"])
+@pytest.mark.parametrize("parts", [("event_date",), ("symbol", "event_date")])
+def test_a_compaction_that_breaks_off_loses_and_doubles_nothing(spark, path, monkeypatch, broken, parts):
+    """After the days were moved, or after they were committed; deliveries are replayed and added in between."""
+    write, until = bronze_writer(path, parts, source_id="s"), dt.date(2024, 1, 3)
+
+    def ids():
+        got = read_bronze(spark, path).collect()
+        return sorted((r.batch_id, r.symbol, str(r.event_date)) for r in got)
+
+    def fail(*args, **more):
+        raise RuntimeError("lost")
+
+    write(day_batch(spark), 0)
+    write(day_batch(spark, names="A"), 1)
+    compact_days(spark, path, dt.date(2024, 1, 2))
+    want = ids()
+    assert len(want) == 9 + 3 + 2
+    with monkeypatch.context() as m:
+        if broken == "commit":
+            m.setattr(VersionedTable, "commit", fail)
+        else:
+            m.setattr(streamed, "remove", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            compact_days(spark, path, until)
+    assert ids() == want
+    write(day_batch(spark), 0)  # replayed: days that were compacted, moved and live
+    assert ids() == want
+    write(day_batch(spark, days=(1, 2), names="B"), 2)
+    want = sorted([*want, (2, "B", "2024-01-01"), (2, "B", "2024-01-02"), (2, "X", "None")])
+    assert ids() == want
+    for _ in range(2):
+        compact_days(spark, path, until)
+        assert ids() == want
+    assert not streamed._folders(spark, path, "closed/run=*")
+    streamed.compacted_days(spark, path).vacuum(1)
+    assert ids() == want
+
+
+def test_a_compaction_handles_days_not_batches(spark, path, monkeypatch):
+    """However many batches a day has, its folder is moved once and removed once."""
+    write, removed = bronze_writer(path, source_id="s"), []
+    for k in range(6):
+        write(day_batch(spark, names="A"), k)
+    real = streamed.remove
+    monkeypatch.setattr(streamed, "remove", lambda s, p: (removed.append(p), real(s, p)))
+    compact_days(spark, path, dt.date(2024, 1, 3))
+    assert len(removed) == 2 and not streamed._folders(spark, path, "closed/run=*")
+    table = VersionedTable(spark, f"{path}/days", "event_date")
+    assert table.numbers() == [1] and sorted(table.version().parts) == ["2024-01-01", "2024-01-02"]
+    assert table.read().count() == 12
+
+
+def test_the_later_of_two_compactions_fails_and_loses_nothing(spark, path, monkeypatch):
+    write = bronze_writer(path, source_id="s")
+    write(day_batch(spark), 0)
+    real = VersionedTable.commit
+
+    def overtaken(self, rows, **more):
+        real(self, rows, **more)
+        return real(self, rows, **more)
+
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "commit", overtaken)
+        with pytest.raises(Conflict):
+            compact_days(spark, path, dt.date(2024, 1, 3))
+    assert read_bronze(spark, path).count() == 10
+    compact_days(spark, path, dt.date(2024, 1, 3))
+    assert read_bronze(spark, path).count() == 10
+
+
+def test_bronze_without_rows_and_other_partitions(spark, path):
+    assert read_bronze(spark, path) is None
+    compact_days(spark, path, dt.date(2024, 1, 3))
+    bronze_writer(path, source_id="s")(day_batch(spark).limit(0), 0)
+    assert read_bronze(spark, path) is None
+    with pytest.raises(ValueError, match="partitioned"):
+        bronze_writer(path, ("event_date", "price"))
+
+
 def test_stream_dedup(spark, tmp_path, path):
     source = tmp_path / "in"
     source.mkdir()

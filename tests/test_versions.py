@@ -66,6 +66,14 @@ def test_of_two_commits_on_one_version_the_second_fails(spark, table):
     assert closes(table.read()) == {(1, 2)}
 
 
+def test_two_first_commits_conflict(spark, table):
+    """A base of None says that there was no version, so the second of two first commits fails too."""
+    table.commit(monthly(spark, [1, 2]), base=None)
+    with pytest.raises(Conflict):
+        table.commit(monthly(spark, [3]), base=None)
+    assert table.numbers() == [1] and table.read().count() == 2
+
+
 def test_columns_come_and_go(spark, table):
     table.commit(monthly(spark, [1, 2]))
     table.commit(monthly(spark, [3]).drop("volume").withColumn("extra", F.lit("x")))

@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 COMMIT = "commit"
 
@@ -39,6 +39,9 @@ class Version:
     notes: dict[str, str] = field(default_factory=dict)
 
 
+LAST = object()  # whatever version is the last when a commit begins
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """A table under ``path``, in partitions by one column (None: a single one)."""
@@ -131,21 +134,26 @@ class VersionedTable:
     # --- committing
 
     def commit(
-        self, rows: DataFrame, *, base: Version | None = None, whole: bool = False, removed: Sequence[str] = (),
-        notes: dict[str, str] | None = None,
+        self, rows: DataFrame, *, base: Version | None = LAST, whole: bool = False, removed: Sequence[str] = (),
+        notes: dict[str, str] | None = None, spread: Column | None = None, order: Sequence[str] = (),
     ) -> Version:
         """Replace the partitions that occur in ``rows``, and drop those ``removed``, in one step.
 
-        ``whole`` replaces all partitions. ``base`` is the version that ``rows`` were made from, by default the
-        last; if there is a later one by now, nothing changes and :class:`Conflict` is raised. Columns that only one side has
-        are kept, NULL in the other. Rows are brought together by partition, and a large one is split (``REBALANCE``).
+        ``whole`` replaces all partitions. ``base`` is the version that ``rows`` were made from, None if the table had
+        none, by default the last; if there is a later one by now, nothing changes and :class:`Conflict` is raised. Columns that only one side has
+        are kept, NULL in the other. Rows are brought together by partition, and within it by ``spread``, and a large one is
+        split (``REBALANCE``). ``order`` sorts the rows of a file.
         """
-        base = base or self.version()
+        base = self.version() if base is LAST else base
         commit = uuid.uuid4().hex
         marked = rows.withColumn(COMMIT, F.lit(commit))
         keys = [self.partition] if self.partition else []
+        if spread is not None:  # the hint takes names only
+            arranged = marked.withColumn("_spread", spread).hint("rebalance", *keys, "_spread").drop("_spread")
+        else:
+            arranged = marked.hint("rebalance", *keys) if keys else marked
         (
-            (marked.hint("rebalance", *keys) if keys else marked)
+            (arranged.sortWithinPartitions(*keys, *order) if order else arranged)
             .write.mode("append").partitionBy(*keys, COMMIT).parquet(f"{self.path}/data")
         )
         old = {} if base is None or whole else {k: c for k, c in base.parts.items() if k not in set(removed)}
