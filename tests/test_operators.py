@@ -185,6 +185,32 @@ def test_blocks_keep_rows_without_a_key_or_a_date(spark):
     assert same_rows(with_series(df, [stage], lookback=2, block_rows=3), plain) and plain.count() == 11
 
 
+def test_blocks_are_chosen_from_counted_rows(spark):
+    """One key with most rows, packed into one hour; NULL keys and times among the rest."""
+    from tickloom.operators.series import series_blocks, with_series
+
+    hot = spark.range(600).selectExpr(
+        "'H' AS symbol", "timestamp'2024-05-06 10:00:00' + make_dt_interval(0, 0, 0, id) AS t", "CAST(id % 7 AS double) AS v")
+    thin = spark.range(40).selectExpr(
+        "IF(id % 4 = 0, NULL, 'T') AS symbol",
+        "IF(id = 39, NULL, timestamp'2020-01-01 00:00:00' + make_dt_interval(CAST(id AS int) * 30)) AS t", "CAST(id AS double) AS v")
+    df = hot.unionByName(thin)
+    assert series_blocks(df, order="t", most=600) == {}
+    assert series_blocks(df.limit(0), order="t") == {}
+    assert series_blocks(df, order="t", most=599) == {"block_rows": 599, "slice_by": "hour"}
+    # 600 rows over ten hours of a day, over days of a month, over months of a year, over years
+    for step, unit in ((60, "hour"), (1440, "day"), (3 * 1440, "month"), (30 * 1440, "year")):
+        spread = df.withColumn("t", F.expr(
+            f"IF(symbol = 'H', timestamp'2000-01-01 00:00:00' + make_dt_interval(0, 0, v * 0 + {step} * CAST(unix_timestamp(t) % 600 AS int)), t)"))
+        chosen = series_blocks(spread, order="t", most=13)
+        assert chosen == {"block_rows": 13, "slice_by": unit}, (step, chosen)
+    stage = lambda over: {"mean": F.avg("v").over(over(4))}
+    plain = with_series(df, [stage], order="t", lookback=3)
+    for most in (5, 100, 599):
+        sized = series_blocks(df, order="t", most=most)
+        assert sized and same_rows(with_series(df, [stage], order="t", lookback=3, **sized), plain)
+
+
 @pytest.mark.parametrize("slice_days", [1, 7, 24, 1000])
 def test_forward_values_by_slices(spark, slice_days):
     """One symbol with all rows in many windows; gaps, NULL values, days before 1970, an event without a date."""

@@ -101,7 +101,7 @@ def streak_stage(over: Frame) -> dict[str, Column]:
     return {"down_days_3d": F.sum(down).over(over(DOWN_ROWS))}
 
 
-def down_streak(volatility: DataFrame, **series: int) -> DataFrame:
+def down_streak(volatility: DataFrame, **series: int | str) -> DataFrame:
     """Number of bars that lost more than 2% among the last three."""
     narrow = volatility.select("symbol", "date", "log_return", "annualized_vol")
     return with_series(narrow, [streak_stage], lookback=DOWN_ROWS - 1, **series)
@@ -139,7 +139,7 @@ def with_metarules(df: DataFrame) -> DataFrame:
     })
 
 
-def metarule_flags(flags: DataFrame, volatility: DataFrame, **series: int) -> DataFrame:
+def metarule_flags(flags: DataFrame, volatility: DataFrame, **series: int | str) -> DataFrame:
     rates = market_anomaly_rate(flags)
     joined = down_streak(volatility, **series).join(rates, "date", "left")
     return with_metarules(joined).select(

@@ -25,7 +25,7 @@ WIDE_COLUMNS = (
 LOOKBACK = max(gold.YEAR_ROWS, max(gold.MEAN_FRAMES)) - 1
 
 
-def daily_features(bars: DataFrame, symbols: DataFrame, **series: int) -> DataFrame:
+def daily_features(bars: DataFrame, symbols: DataFrame, **series: int | str) -> DataFrame:
     """Ratings, levels, volatility, outliers and the down streak, one row per symbol and date."""
     known = gold.with_dimension(bars, symbols, "company_name", "sector", "market_cap_tier").select(
         "symbol", "company_name", "sector", "market_cap_tier", "date",
@@ -44,7 +44,7 @@ def daily_features(bars: DataFrame, symbols: DataFrame, **series: int) -> DataFr
 
 
 def signals_from_bars(
-    bars: DataFrame, symbols: DataFrame, rules: DataFrame, **series: int
+    bars: DataFrame, symbols: DataFrame, rules: DataFrame, **series: int | str
 ) -> DataFrame:
     """The same rows as ``decision.decision_signals`` over the separate gold tables.
 

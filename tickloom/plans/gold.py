@@ -199,7 +199,7 @@ def with_outliers(df: DataFrame) -> DataFrame:
 # --- models ------------------------------------------------------------------------------
 
 
-def daily_return(bars: DataFrame, symbols: DataFrame, **series: int) -> DataFrame:
+def daily_return(bars: DataFrame, symbols: DataFrame, **series: int | str) -> DataFrame:
     """Return against the bar before; a symbol's first bar is left out."""
     known = with_dimension(bars, symbols, "sector", "market_cap_tier")
     returns = with_daily_return(with_series(known, [previous_close], lookback=1, **series))
@@ -250,7 +250,7 @@ def intraday_vwap(ticks: DataFrame, symbols: DataFrame) -> DataFrame:
     )
 
 
-def volatility_index(bars: DataFrame, symbols: DataFrame, **series: int) -> DataFrame:
+def volatility_index(bars: DataFrame, symbols: DataFrame, **series: int | str) -> DataFrame:
     known = with_dimension(bars, symbols, "sector", "company_name")
     lagged = with_log_return(with_series(known, [previous_close], lookback=1, **series))
     # the lag costs one row of context, which the first stage has used up
@@ -262,7 +262,7 @@ def volatility_index(bars: DataFrame, symbols: DataFrame, **series: int) -> Data
     )
 
 
-def levels_52w(bars: DataFrame, symbols: DataFrame, **series: int) -> DataFrame:
+def levels_52w(bars: DataFrame, symbols: DataFrame, **series: int | str) -> DataFrame:
     known = with_dimension(bars, symbols, "company_name", "sector", "market_cap_tier")
     rolled = with_series(known, [level_stage], lookback=YEAR_ROWS - 1, **series)
     return with_levels(rolled).select(
@@ -278,7 +278,7 @@ RATING_COLUMNS = (
 )
 
 
-def technical_rating(bars: DataFrame, symbols: DataFrame, **series: int) -> DataFrame:
+def technical_rating(bars: DataFrame, symbols: DataFrame, **series: int | str) -> DataFrame:
     """Eight indicator votes per symbol and day, and the rating their sum stands for."""
     known = with_dimension(bars, symbols, "company_name", "sector", "market_cap_tier")
     moves = with_gain_and_loss(with_series(known, [previous_close], lookback=1, **series))
@@ -289,7 +289,7 @@ def technical_rating(bars: DataFrame, symbols: DataFrame, **series: int) -> Data
     )
 
 
-def _scored(volatility: DataFrame, **series: int) -> DataFrame:
+def _scored(volatility: DataFrame, **series: int | str) -> DataFrame:
     narrow = volatility.select("symbol", "date", "volume", "log_return")
     return with_outliers(with_series(narrow, [outlier_stage], lookback=FENCE_ROWS - 1, **series))
 
@@ -312,17 +312,17 @@ def long_flags(scored: DataFrame, *kinds: str) -> DataFrame:
     return scored.select("symbol", "date", F.inline(verdicts))
 
 
-def volume_zscore(volatility: DataFrame, **series: int) -> DataFrame:
+def volume_zscore(volatility: DataFrame, **series: int | str) -> DataFrame:
     """Volume against the mean and deviation of its last 30 bars."""
     return long_flags(_scored(volatility, **series), "volume_zscore")
 
 
-def price_iqr(volatility: DataFrame, **series: int) -> DataFrame:
+def price_iqr(volatility: DataFrame, **series: int | str) -> DataFrame:
     """Return against the Tukey fences of its last 90 bars."""
     return long_flags(_scored(volatility, **series), "price_iqr")
 
 
-def anomaly_flags(volatility: DataFrame, **series: int) -> DataFrame:
+def anomaly_flags(volatility: DataFrame, **series: int | str) -> DataFrame:
     """Both detectors as one long table."""
     return long_flags(_scored(volatility, **series), "volume_zscore", "price_iqr")
 
