@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom import schemas
 from tickloom.operators.asof import value_range
 from tickloom.operators.dedup import latest_per_key
+from tickloom.operators.series import series_blocks
 from tickloom.operators.upsert import recompute_touched, touched_since, upsert
 from tickloom.plans import checks, decision, detectors, gold, silver
 from tickloom.session import written
@@ -135,7 +136,7 @@ class SeriesModel:
     """A model over the bars of one symbol, and the rows it looks back on."""
 
     name: str
-    build: Callable[[DataFrame, DataFrame], DataFrame]
+    build: Callable[..., DataFrame]
     lookback: int
 
 
@@ -152,13 +153,14 @@ def build_tables(house: Warehouse, bars: DataFrame, symbols: DataFrame, rules: D
     house.replace("knowledge_rules", rules, date=None)
     house.replace("silver_ohlcv", silver.silver_ohlcv(bars))
     clean = house.read("silver_ohlcv")
+    blocks = series_blocks(clean)
     for model in SERIES_MODELS:
-        house.replace(model.name, model.build(clean, symbols))
-    house.replace("gold_sector_performance", gold.sector_performance(gold.daily_return(clean, symbols)))
-    house.replace("gold_anomaly_flags", gold.anomaly_flags(house.read("gold_volatility_index")))
+        house.replace(model.name, model.build(clean, symbols, **blocks))
+    house.replace("gold_sector_performance", gold.sector_performance(gold.daily_return(clean, symbols, **blocks)))
+    house.replace("gold_anomaly_flags", gold.anomaly_flags(house.read("gold_volatility_index"), **blocks))
     house.replace("decision_cf_engine", decision.cf_engine(house.read("gold_technical_rating"), rules))
     house.replace("decision_metarule_flags", decision.metarule_flags(
-        house.read("gold_anomaly_flags"), house.read("gold_volatility_index")))
+        house.read("gold_anomaly_flags"), house.read("gold_volatility_index"), **blocks))
     house.replace("decision_signals", _signals(house))
 
 
@@ -262,7 +264,7 @@ def refresh_tables(house: Warehouse, bars: DataFrame | None = None) -> None:
     for model in SERIES_MODELS:
         clean = house.with_history("silver_ohlcv", first, model.lookback, calendar_days(model.lookback))
         rows = recompute_touched(
-            lambda b, m=model: m.build(b, symbols), clean, touched, lookback=model.lookback
+            lambda b, m=model, s=series_blocks(clean): m.build(b, symbols, **s), clean, touched, lookback=model.lookback
         )
         changed[model.name] = house.merge(model.name, rows, DAY)
     volatility = house.with_history(
